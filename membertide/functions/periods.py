@@ -63,51 +63,50 @@ def label_bounds(label: Column, period_type: str) -> tuple[Column, Column]:
     raise _unknown(period_type)
 
 
-def follows(previous: Column, current: Column, period_type: str, adjacency: str = COMPAT) -> Column:
+def follows(previous: str, current: str, period_type: str, adjacency: str = COMPAT) -> Column:
     """Whether the period ending on ``current`` comes right after the one ending on ``previous``.
 
-    ``compat`` looks at a single component of the calendar difference (years, months, days):
-    seven days for weeks, one month for months, one year for years. A gap of one month and
-    seven days hence counts as a week, and one of thirteen months as a month. ``strict`` asks
-    for the very next period. NULL or descending dates are never adjacent.
+    Both name a DATE column. ``compat`` looks at a single component of the calendar difference
+    (years, months, days): seven days for weeks, one month for months, one year for years. A gap
+    of one month and seven days hence counts as a week, and one of thirteen months as a month.
+    ``strict`` asks for the very next period. NULL or descending dates are never adjacent.
     """
     if period_type not in _TRUNC_UNIT:
         raise _unknown(period_type)
     if adjacency == STRICT:
-        adjacent = _strictly_next(previous, current, period_type)
+        test = _strictly_next(previous, current, period_type)
     elif adjacency == COMPAT:
-        adjacent = _component_is_one(previous, current, period_type)
+        test = _component_is_one(previous, current, period_type)
     else:
         raise ValueError(f"unknown adjacency {adjacency!r}")
-    return F.coalesce((current >= previous) & adjacent, F.lit(False))
+    return F.expr(f"coalesce({current} >= {previous} AND {test}, false)")
 
 
-def _strictly_next(previous: Column, current: Column, period_type: str) -> Column:
+def _strictly_next(previous: str, current: str, period_type: str) -> str:
     if period_type == WEEKLY:
-        return F.date_diff(current, previous) == 7
+        return f"datediff({current}, {previous}) = 7"
     if period_type == MONTHLY:
-        return _month_number(current) - _month_number(previous) == 1
-    return F.year(current) - F.year(previous) == 1
+        return f"{_month_number(current)} - {_month_number(previous)} = 1"
+    return f"year({current}) - year({previous}) = 1"
 
 
-def _component_is_one(previous: Column, current: Column, period_type: str) -> Column:
-    # Whole months between the dates: the month count, less one if that overshoots.
-    by_number = _month_number(current) - _month_number(previous)
-    overshoots = F.add_months(previous, by_number) > current
-    months = by_number - F.when(overshoots, 1).otherwise(0)
+def _component_is_one(previous: str, current: str, period_type: str) -> str:
+    # Whole months between the dates: the difference in month numbers, less one if it overshoots.
+    by_number = f"({_month_number(current)} - {_month_number(previous)})"
+    months = f"({by_number} - CASE WHEN add_months({previous}, {by_number}) > {current} THEN 1 ELSE 0 END)"
     if period_type == WEEKLY:
-        return F.date_diff(current, F.add_months(previous, months)) == 7
+        return f"datediff({current}, add_months({previous}, {months})) = 7"
     if period_type == MONTHLY:
-        return months % 12 == 1
-    return (months >= 12) & (months < 24)
+        return f"{months} % 12 = 1"
+    return f"{months} div 12 = 1"
 
 
-def _month_number(day: Column) -> Column:
-    return F.year(day) * 12 + F.month(day)
+def _month_number(day: str) -> str:
+    return f"(12 * year({day}) + month({day}))"
 
 
 def _iso(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    return day.cast("date").cast("string")
 
 
 def _parse(text: Column) -> Column:

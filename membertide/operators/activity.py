@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from membertide.operators.dedup import dedup_alltime, dedup_period
 from membertide.operators.totals import alltime_scalar, org_sizes
 from membertide.schemas import ALLTIME, APP, CALENDAR_PERIODS, MONTHLY, ORG, WEEKLY, YEARLY, check_variant
 
+ORG_SLICES = 32
+
 
 def with_alltime(interactions: DataFrame, therapists: DataFrame) -> DataFrame:
     """Attach the all-time label and total as ``all_time_period`` and ``all_time_thers``."""
@@ -19,10 +23,26 @@ def with_alltime(interactions: DataFrame, therapists: DataFrame) -> DataFrame:
     )
 
 
-def with_org_totals(interactions: DataFrame, therapists: DataFrame) -> DataFrame:
-    """Left join with the size of each row's organization as ``total_thers_in_org``."""
-    sizes = org_sizes(therapists).withColumnRenamed("total_ther", "total_thers_in_org")
-    return interactions.join(sizes, "organization_id", "left")
+def with_org_totals(
+    interactions: DataFrame,
+    therapists: DataFrame,
+    spread_by: Sequence[str] = ("therapist_id",),
+    slices: int = ORG_SLICES,
+) -> DataFrame:
+    """Left join with the size of each row's organization as ``total_thers_in_org``.
+
+    Should the sizes be too many to broadcast, both sides are shuffled, and one organization
+    may hold a large share of the rows. Its rows are spread over ``slices`` join keys by a hash
+    of ``spread_by``, and every size is repeated once per slice. The hash is deterministic, so
+    a task that runs again sends each row where it went before.
+    """
+    sizes = org_sizes(therapists).select(
+        "organization_id",
+        F.col("total_ther").alias("total_thers_in_org"),
+        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"),
+    )
+    sliced = interactions.withColumn("slice", F.pmod(F.xxhash64(*spread_by), F.lit(slices)).cast("int"))
+    return sliced.join(sizes, ["organization_id", "slice"], "left").drop("slice")
 
 
 def active_therapists(interactions: DataFrame, therapists: DataFrame, level: str, period_type: str) -> DataFrame:

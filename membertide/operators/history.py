@@ -35,20 +35,23 @@ def with_previous(active: DataFrame, period_type: str | None = None, adjacency:
     window = Window.partitionBy(*series).orderBy(
         F.col("period_start").asc_nulls_last(), F.col("period_end").asc_nulls_last()
     )
-    adjacent = _adjacent(F.lag("period_end").over(window), period_type, adjacency)
-    return active.withColumns(
-        {
-            f"{name}_b_period": F.when(adjacent, F.lag(name).over(window)).otherwise(F.lit(0).cast("bigint"))
-            for name in ("active_ther", "inactive_ther")
-        }
+    # The lags become columns of their own first, so that the window computes each one once.
+    lagged = active.withColumns(
+        {f"previous_{c}": F.lag(c).over(window) for c in ("period_end", "active_ther", "inactive_ther")}
     )
+    adjacent = _adjacent(period_type, adjacency)
+    before = {
+        f"{c}_b_period": F.when(adjacent, F.col(f"previous_{c}")).otherwise(F.lit(0).cast("bigint"))
+        for c in ("active_ther", "inactive_ther")
+    }
+    return lagged.withColumns(before).select(*active.columns, *before)
 
 
-def _adjacent(previous: Column, period_type: str | None, adjacency: str) -> Column:
-    current = F.col("period_end")
+def _adjacent(period_type: str | None, adjacency: str) -> Column:
     if period_type is not None:
-        return follows(previous, current, period_type, adjacency)
-    of_type = F.when(F.lit(False), F.lit(False))
+        return follows("previous_period_end", "period_end", period_type, adjacency)
+    of_type = F.lit(False)
     for name in CALENDAR_PERIODS:
-        of_type = of_type.when(F.col("period_type") == name, follows(previous, current, name, adjacency))
-    return of_type.otherwise(F.lit(False))
+        test = follows("previous_period_end", "period_end", name, adjacency)
+        of_type = F.when(F.col("period_type") == name, test).otherwise(of_type)
+    return of_type

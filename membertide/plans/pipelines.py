@@ -97,15 +97,16 @@ def serving_rates(interactions: DataFrame, therapists: DataFrame, adjacency: str
 
 
 def chart_totals(interactions: DataFrame, therapists: DataFrame, period_type: str) -> DataFrame:
-    feeds = [total_feed(interactions, therapists, lv, p) for lv, p in TOTAL_VARIANTS]
-    return charts.bars(charts.totals_export(serving.union_feeds(feeds)), period_type)
+    """Bars of one period type straight from the source tables, computing that variant alone."""
+    feed = total_feed(interactions, therapists, APP, period_type)
+    return charts.bars(charts.totals_export(feed), period_type)
 
 
 def chart_rates(
     interactions: DataFrame, therapists: DataFrame, period_type: str, adjacency: str = COMPAT
 ) -> DataFrame:
-    feeds = [rate_feed(interactions, therapists, lv, p, adjacency) for lv, p in RATE_VARIANTS]
-    return charts.bars(charts.rates_export(serving.union_feeds(feeds)), period_type)
+    feed = rate_feed(interactions, therapists, APP, period_type, adjacency)
+    return charts.bars(charts.rates_export(feed), period_type)
 
 
 def run_all(

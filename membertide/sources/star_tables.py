@@ -3,40 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _joined(key: str):
-    return F.date_add(F.lit("1994-01-01").cast("date"), (F.col(key) % 365).cast("int"))
+def therapists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _therapists(_table(spark, sf_dir, "customer"))
 
 
-def therapists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return _table(spark, sf_dir, "customer").select(
-        key.cast("string").alias("id"),
-        F.when(key % 17 != 0, F.col("c_nationkey").cast("bigint")).alias("organization_id"),
-        _joined("c_custkey").alias("date_joined"),
+def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _interactions(_table(spark, sf_dir, "orders"), _table(spark, sf_dir, "customer"))
+
+
+def both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Interactions and therapists, resolving each underlying table once."""
+    customers = _table(spark, sf_dir, "customer")
+    return _interactions(_table(spark, sf_dir, "orders"), customers), _therapists(customers)
+
+
+def _therapists(customers: DataFrame) -> DataFrame:
+    return customers.selectExpr(
+        "CAST(c_custkey AS STRING) AS id",
+        "CASE WHEN c_custkey % 17 <> 0 THEN CAST(c_nationkey AS BIGINT) END AS organization_id",
+        f"{_joined('c_custkey')} AS date_joined",
     )
 
 
-def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order, nation = F.col("o_orderkey"), F.col("c_nationkey").cast("bigint")
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    customers = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    return orders.join(customers, "o_custkey").select(
-        order.alias("seq"),
-        F.col("o_custkey").cast("string").alias("therapist_id"),
-        F.col("o_orderdate").cast("date").alias("interaction_date"),
-        F.lit(1).cast("bigint").alias("counter"),
-        F.when(order % 11 != 0, order % 4).alias("chat_count"),
-        F.when(order % 3 == 0, 1).otherwise(0).cast("bigint").alias("call_count"),
-        F.when(order % 13 == 0, None)
-        .when(order % 5 == 0, (nation + 1) % 25)
-        .otherwise(nation)
-        .alias("organization_id"),
-        _joined("o_custkey").alias("organization_date_joined"),
+def _interactions(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    owners = customers.selectExpr("c_custkey AS o_custkey", "CAST(c_nationkey AS BIGINT) AS nation")
+    return orders.select("o_orderkey", "o_custkey", "o_orderdate").join(owners, "o_custkey").selectExpr(
+        "o_orderkey AS seq",
+        "CAST(o_custkey AS STRING) AS therapist_id",
+        "CAST(o_orderdate AS DATE) AS interaction_date",
+        "1L AS counter",
+        "CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 4 END AS chat_count",
+        "CASE WHEN o_orderkey % 3 = 0 THEN 1L ELSE 0L END AS call_count",
+        "CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN (nation + 1) % 25 "
+        "ELSE nation END AS organization_id",
+        f"{_joined('o_custkey')} AS organization_date_joined",
     )
+
+
+def _joined(key: str) -> str:
+    return f"date_add(DATE'1994-01-01', CAST({key} % 365 AS INT))"
