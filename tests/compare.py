@@ -39,3 +39,7 @@ def difference(spark_df, con, sql: str) -> str | None:
         return f"{len(left)} rows / {len(right)} rows"
     wrong = [(a, b) for a, b in zip(left, right) if a != b]
     return f"{len(wrong)} of {len(left)} rows differ, first {wrong[0]}" if wrong else None
+
+
+def plan(spark_df) -> str:
+    return spark_df._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,193 @@
+"""Every reader and writer, by round trip."""
+
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import frames
+from membertide import schemas
+from membertide.operators.dedup import dedup_alltime, dedup_daily
+from membertide.operators.history import with_bounds, with_previous
+from membertide.plans import pipelines
+from membertide.schemas import APP, CALENDAR_PERIODS, ORG, RATE_VARIANTS, TOTAL_KEYS, TOTAL_VARIANTS
+from membertide.sources import readers, star_tables, writers
+
+
+@pytest.fixture(scope="module")
+def sources(spark, sf_dir):
+    return star_tables.both(spark, sf_dir)
+
+
+@pytest.mark.parametrize("fmt", readers.EXPORT_FORMATS)
+def test_exports_of_the_source_tables(spark, sources, tmp_path, fmt):
+    interactions, therapists = sources
+    writers.write_export(therapists, f"{tmp_path}/t", fmt)
+    writers.write_export(interactions, f"{tmp_path}/i", fmt)
+    read = readers.read_therapists(spark, f"{tmp_path}/t", fmt)
+    assert read.schema.simpleString() == schemas.THERAPIST.simpleString()
+    dated = read.withColumn("date_joined", F.col("date_joined").cast("date"))
+    assert frames.rows(dated) == frames.rows(therapists)
+    read = readers.read_interactions(spark, f"{tmp_path}/i", fmt, sequence="seq")
+    dates = {c: F.col(c).cast("date") for c in ("interaction_date", "organization_date_joined")}
+    assert frames.rows(read.withColumns(dates), *interactions.columns) == frames.rows(interactions)
+    # The figures are the same from files as from tables.
+    files = readers.read_interactions(spark, f"{tmp_path}/i", fmt, sequence="seq"), readers.read_therapists(spark, f"{tmp_path}/t", fmt)
+    assert frames.rows(pipelines.active(*files, ORG, "weekly")) == frames.rows(pipelines.active(*sources, ORG, "weekly"))
+
+
+def test_columns_go_by_header_name(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("date_joined,extra,id,organization_id\n2021-01-05,x,007,3\n2021-01-06 10:30:00,,b,\n")
+    found = readers.read_therapists(spark, f"{tmp_path}/t.csv").select("id", "organization_id", F.col("date_joined").cast("string"))
+    assert frames.rows(found) == [("007", 3, "2021-01-05 00:00:00"), ("b", None, "2021-01-06 10:30:00")]
+
+
+def test_wrong_values_fail_or_become_null(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,organization_id,date_joined\na,many,2021-01-05\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        readers.read_therapists(spark, f"{tmp_path}/t.csv").collect()
+    assert readers.read_therapists(spark, f"{tmp_path}/t.csv", lenient=True).first().organization_id is None
+
+
+def test_json_array(spark, tmp_path):
+    rows = [{"id": "a", "organization_id": 4, "date_joined": "2021-01-05"}, {"id": "b", "organization_id": None, "date_joined": None}]
+    (tmp_path / "t.json").write_text(json.dumps(rows))
+    found = readers.read_therapists(spark, f"{tmp_path}/t.json", "json", multiline=True)
+    assert frames.rows(found, "id", "organization_id") == [("a", 4), ("b", None)]
+
+
+def test_other_formats_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError):
+        readers.read_therapists(spark, str(tmp_path), "xml")
+    with pytest.raises(ValueError):
+        writers.write_export(spark.range(1), str(tmp_path / "x"), "xml")
+
+
+def test_file_order_is_row_order(spark, tmp_path):
+    """Many splits per partition and several per file must not disturb the order."""
+    rnd = random.Random(3)
+    header = ",".join(schemas.INTERACTION.names)
+    rows, last = [], {}
+    for part in range(4):
+        lines = [header]
+        for _ in range(rnd.choice([5, 400, 900])):
+            who, org = f"t{rnd.randrange(30)}", rnd.randrange(9)
+            lines.append(f"{who},2021-01-{rnd.randrange(1, 3):02},1,2,0,{org},2020-01-01")
+            rows.append((who, org))
+            last[who] = org
+        (tmp_path / f"part-{part}.csv").write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        df = readers.read_interactions(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 4
+        ordered = [(r.therapist_id, r.organization_id) for r in df.orderBy("seq").collect()]
+        found = {r.therapist_id: r.organization_id for r in dedup_alltime(df).collect()}
+        daily = dedup_daily(df).groupBy("therapist_id").agg(F.max("seq").alias("seq"))
+        assert daily.count() == len(last)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert ordered == rows
+    assert found == last
+
+
+@pytest.fixture(scope="module")
+def written(spark, sources, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("stages"))
+    pipelines.run_all(spark, *sources, root, files=10, export_inputs=True)
+    return root
+
+
+def test_totals_files(spark, sources, written):
+    from membertide.operators.cleaning import clean_therapists
+    from membertide.operators.totals import total_all, total_per_org
+
+    members = clean_therapists(sources[1])
+    assert frames.rows(readers.read_total_all(spark, f"{written}/num_of_ther/all")) == frames.rows(total_all(members))
+    sizes = readers.read_org_sizes(spark, f"{written}/num_of_ther/per-org")
+    assert frames.rows(sizes) == frames.rows(total_per_org(members), "organization_id", "total")
+    inputs = readers.read_therapist_input(spark, f"{written}/therapist_input")
+    assert frames.rows(inputs) == frames.rows(pipelines.therapist_input(sources[1]))
+
+
+@pytest.mark.parametrize("level, period_type", TOTAL_VARIANTS)
+def test_stage_files(spark, sources, written, level, period_type):
+    path = writers.stage_path(written, "interaction_input", level, period_type)
+    parts = spark.read.text(path).select(F.col("_metadata.file_path")).distinct().count()
+    assert parts == 10
+    found = readers.read_interaction_input(spark, path, level, period_type)
+    assert frames.rows(found) == frames.rows(pipelines.interaction_input(*sources, level, period_type))
+
+    active = readers.read_active(spark, writers.stage_path(written, "active_ther", level, period_type), level)
+    assert frames.rows(active) == frames.rows(pipelines.active(*sources, level, period_type))
+    if period_type == "alltime":
+        return
+    expected = pipelines.rate_input(*sources, level, period_type)
+    path = writers.stage_path(written, "rate_input", level, period_type)
+    assert frames.rows(readers.read_rate_input(spark, path, level)) == frames.rows(expected)
+    # From the text of the stage before, by parsing its labels.
+    parsed = with_previous(with_bounds(active, period_type), period_type)
+    assert frames.rows(parsed, *expected.columns) == frames.rows(expected)
+    path = writers.stage_path(written, "rate_output", level, period_type)
+    assert frames.rows(readers.read_rate_output(spark, path, level)) == frames.rows(
+        pipelines.rates(*sources, level, period_type))
+
+
+def test_serving_and_chart_files(spark, sources, written):
+    assert frames.rows(spark.read.parquet(f"{written}/serving/totals")) == frames.rows(pipelines.serving_totals(*sources))
+    assert frames.rows(spark.read.parquet(f"{written}/serving/rates")) == frames.rows(pipelines.serving_rates(*sources))
+    for period_type in CALENDAR_PERIODS:
+        for name, build in (("totals", pipelines.chart_totals), ("rates", pipelines.chart_rates)):
+            expected = build(*sources, period_type)
+            found = spark.read.schema(expected.schema).option("header", True).csv(f"{written}/charts/{name}/{period_type}")
+            assert frames.rows(found) == frames.rows(expected)
+
+
+def test_exports_of_the_serving_tables(spark, sources, tmp_path):
+    from membertide.operators.charts import rates_export, totals_export
+
+    for name, export, read in (
+        ("totals", totals_export(pipelines.serving_totals(*sources)), readers.read_totals_export),
+        ("rates", rates_export(pipelines.serving_rates(*sources)), readers.read_rates_export),
+    ):
+        for fmt in readers.EXPORT_FORMATS:
+            writers.write_export(export, f"{tmp_path}/{name}-{fmt}", fmt)
+            assert frames.rows(read(spark, f"{tmp_path}/{name}-{fmt}", fmt)) == frames.rows(export)
+
+
+def test_running_again_replaces(spark, sources, written):
+    before = frames.rows(spark.read.parquet(f"{written}/serving/totals"))
+    pipelines.run_all(spark, *sources, written)
+    assert frames.rows(spark.read.parquet(f"{written}/serving/totals")) == before
+
+
+def test_one_file(spark, sources, tmp_path):
+    writers.write_tsv(pipelines.active(*sources, APP, "monthly"), f"{tmp_path}/x", files=1)
+    assert len(list((tmp_path / "x").glob("part-*"))) == 1
+    found = readers.read_active(spark, f"{tmp_path}/x", APP)
+    assert frames.rows(found) == frames.rows(pipelines.active(*sources, APP, "monthly"))
+
+
+def test_upsert_versions(spark, sources, tmp_path):
+    first = pipelines.total_feed(*sources, APP, "yearly")
+    v1 = writers.upsert_version(spark, None, first, TOTAL_KEYS, f"{tmp_path}/v1")
+    changed = first.withColumn("value", F.col("value") + 1)
+    more = pipelines.total_feed(*sources, APP, "monthly")
+    v2 = writers.upsert_version(spark, f"{tmp_path}/v1", changed.unionByName(more), TOTAL_KEYS, f"{tmp_path}/v2")
+    assert frames.rows(v1) == frames.rows(first)
+    assert frames.rows(v2) == frames.rows(changed.unionByName(more))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        writers.upsert_version(spark, f"{tmp_path}/v1", changed, TOTAL_KEYS, f"{tmp_path}/v2")
+
+
+def test_variants_have_paths():
+    paths = {writers.stage_path("r", "s", *v) for v in TOTAL_VARIANTS}
+    assert len(paths) == len(TOTAL_VARIANTS) and "r/s/by-org/weekly" in paths
+    assert set(RATE_VARIANTS) < set(TOTAL_VARIANTS)
+    with pytest.raises(ValueError):
+        writers.stage_path("r", "s", ORG, "alltime")

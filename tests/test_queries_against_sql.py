@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
-from compare import connect, difference
+from compare import connect, difference, plan
 
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
@@ -21,7 +21,10 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, con, sf_dir):
-    assert difference(QUERIES[name](spark, sf_dir), con, SQL[name]) is None
+    df = QUERIES[name](spark, sf_dir)
+    assert difference(df, con, SQL[name]) is None
+    for node in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate"):
+        assert node not in plan(df)
 
 
 def test_entry_gives_rates(spark):
