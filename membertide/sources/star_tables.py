@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The columns used, so that no file is opened to look for a schema.
+COLUMNS = {
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def therapists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +40,7 @@ def _therapists(customers: DataFrame) -> DataFrame:
 
 def _interactions(orders: DataFrame, customers: DataFrame) -> DataFrame:
     owners = customers.selectExpr("c_custkey AS o_custkey", "CAST(c_nationkey AS BIGINT) AS nation")
-    return orders.select("o_orderkey", "o_custkey", "o_orderdate").join(owners, "o_custkey").selectExpr(
+    return orders.join(owners, "o_custkey").selectExpr(
         "o_orderkey AS seq",
         "CAST(o_custkey AS STRING) AS therapist_id",
         "CAST(o_orderdate AS DATE) AS interaction_date",
