@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from membertide.functions.periods import period_end, period_label, period_start
 from membertide.operators.dedup import dedup_alltime, dedup_period
 from membertide.operators.totals import alltime_scalar, org_sizes
-from membertide.schemas import ALLTIME, APP, CALENDAR_PERIODS, MONTHLY, ORG, WEEKLY, YEARLY, check_variant
+from membertide.schemas import ALLTIME, APP, CALENDAR_PERIODS, MONTHLY, ORG, WEEKLY, check_variant
 
 ORG_SLICES = 32
 
@@ -93,29 +93,32 @@ def _active_alltime(interactions: DataFrame, therapists: DataFrame) -> DataFrame
 def last_organization(interactions: DataFrame) -> DataFrame:
     """Every period type at once: ``therapist_id, period_type, period_start, organization_id``.
 
-    The interactions are read, combined and shuffled a single time, down to one row per
-    therapist and *cell*: the part of a week within one month. Cells nest in weeks, months,
-    years and all time, and keeping the last row can be repeated, so the four period types
-    are rolled up from cells instead of from raw rows. All-time rows have no start.
+    The interactions are read once and combined on the map side down to one row per therapist
+    and *cell*: the part of a week that lies within one month, named by its first day. Cells
+    nest in weeks, months, years and all time, and keeping the last row can be repeated, so
+    the periods are rolled up from cells. Cells move to their therapist's partition before
+    each turns into four rows; a therapist has no more cells than the calendar, however many
+    interactions, and the rows of a generator stay where they are, so the roll-up itself needs
+    no shuffle. All-time rows have no start.
     """
     day = F.col("interaction_date")
+    cell = F.greatest(period_start(day, WEEKLY), period_start(day, MONTHLY))
     cells = (
-        interactions.select(
-            "therapist_id",
-            "organization_id",
-            "seq",
-            period_start(day, WEEKLY).alias(WEEKLY),
-            period_start(day, MONTHLY).alias(MONTHLY),
-        )
-        .groupBy("therapist_id", WEEKLY, MONTHLY)
+        interactions.select("therapist_id", cell.alias("cell"), "organization_id", "seq")
+        .groupBy("therapist_id", "cell")
         .agg(F.max_by("organization_id", "seq").alias("organization_id"), F.max("seq").alias("seq"))
-        .withColumns({YEARLY: period_start(F.col(MONTHLY), YEARLY), ALLTIME: F.lit(None).cast("date")})
+        .repartition("therapist_id")
     )
-    periods = cells.unpivot(
-        ["therapist_id", "organization_id", "seq"],
-        [ALLTIME, *CALENDAR_PERIODS],
-        "period_type",
-        "period_start",
+    starts = [
+        column
+        for period_type in CALENDAR_PERIODS
+        for column in (F.lit(period_type), period_start(F.col("cell"), period_type))
+    ]
+    periods = cells.select(
+        "therapist_id",
+        "organization_id",
+        "seq",
+        F.stack(F.lit(4), *starts, F.lit(ALLTIME), F.lit(None).cast("date")).alias("period_type", "period_start"),
     )
     return (
         periods.filter((F.col("period_type") == ALLTIME) | F.col("period_start").isNotNull())
