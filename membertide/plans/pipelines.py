@@ -1,24 +1,21 @@
 """User-level pipelines from the two source tables to serving records and chart figures.
 
 Each function takes the raw source frames and returns a lazy frame, so a pipeline is a single
-Spark plan. ``run_all`` is the batch that writes every stage's table.
+Spark plan. ``membertide.plans.stages`` runs the same steps as a batch from files to files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from membertide import schemas
-from membertide.functions.periods import period_label, range_label
 from membertide.operators import activity, charts, serving
 from membertide.operators.cleaning import clean_interactions, clean_therapists
 from membertide.operators.dedup import dedup_alltime, dedup_period
-from membertide.operators.history import sort_by_period, with_previous
+from membertide.operators.history import with_previous
 from membertide.operators.rating import with_rates
-from membertide.operators.totals import total_all, total_per_org
-from membertide.schemas import ALLTIME, APP, CALENDAR_PERIODS, COMPAT, ORG, RATE_VARIANTS, TOTAL_VARIANTS
-from membertide.sources import writers
+from membertide.schemas import ALLTIME, APP, COMPAT, ORG, RATE_VARIANTS
 
 
 def therapist_input(therapists: DataFrame) -> DataFrame:
@@ -107,78 +104,3 @@ def chart_rates(
 ) -> DataFrame:
     feed = rate_feed(interactions, therapists, APP, period_type, adjacency)
     return charts.bars(charts.rates_export(feed), period_type)
-
-
-def run_all(
-    spark: SparkSession,
-    interactions: DataFrame,
-    therapists: DataFrame,
-    root: str,
-    *,
-    adjacency: str = COMPAT,
-    files: int | None = None,
-    export_inputs: bool = False,
-) -> None:
-    """Write every stage below ``root``, a folder all executors share.
-
-    The interactions are read once. Their reduction to one row per therapist and period is a
-    written table, and so are the figures counted from it; later stages read those, so losing
-    executors repeats a stage and never the scan. ``files`` fixes the number of part files of
-    the row-level exports, which are written only with ``export_inputs``.
-    """
-    members = clean_therapists(therapists)
-    writers.write_tsv(total_all(members), f"{root}/num_of_ther/all")
-    writers.write_tsv(total_per_org(members), f"{root}/num_of_ther/per-org")
-
-    last_path, figures_path = f"{root}/last_organization", f"{root}/activity"
-    last = activity.last_organization(clean_interactions(interactions))
-    last.write.mode("overwrite").partitionBy("period_type").parquet(last_path)
-    last = spark.read.parquet(last_path)
-    activity.activity_summary(last, members).write.mode("overwrite").parquet(figures_path)
-    figures = spark.read.parquet(figures_path)
-
-    if export_inputs:
-        writers.write_delimited(therapist_input(therapists), f"{root}/therapist_input", files=files)
-        for level, period_type in TOTAL_VARIANTS:
-            rows = _input_from_last(last, members, level, period_type)
-            path = writers.stage_path(root, "interaction_input", level, period_type)
-            writers.write_delimited(rows, path, files=files)
-
-    for level, period_type in TOTAL_VARIANTS:
-        variant = _variant(figures, level, period_type)
-        path = writers.stage_path(root, "active_ther", level, period_type)
-        writers.write_tsv(_labelled(variant, period_type).select(*schemas.active(level).names), path)
-        if period_type == ALLTIME:
-            continue
-        enriched = with_rates(with_previous(variant, period_type, adjacency))
-        for stage, schema in (("rate_input", schemas.rate_input(level)), ("rate_output", schemas.rate_output(level))):
-            path = writers.stage_path(root, stage, level, period_type)
-            writers.write_delimited(sort_by_period(enriched).select(*schema.names), path)
-
-    totals, rated = f"{root}/serving/totals", f"{root}/serving/rates"
-    serving.total_records(figures).write.mode("overwrite").parquet(totals)
-    serving.rate_records(_summary_rates(figures, adjacency)).write.mode("overwrite").parquet(rated)
-    for name, export in (
-        ("totals", charts.totals_export(spark.read.parquet(totals))),
-        ("rates", charts.rates_export(spark.read.parquet(rated))),
-    ):
-        for period_type in CALENDAR_PERIODS:
-            writers.write_export(charts.bars(export, period_type), f"{root}/charts/{name}/{period_type}")
-
-
-def _variant(figures: DataFrame, level: str, period_type: str) -> DataFrame:
-    return figures.filter((F.col("level") == level) & (F.col("period_type") == period_type))
-
-
-def _labelled(figures: DataFrame, period_type: str) -> DataFrame:
-    start, end = F.col("period_start"), F.col("period_end")
-    label = range_label(start, end) if period_type == ALLTIME else period_label(start, period_type)
-    return figures.withColumn("period", label)
-
-
-def _input_from_last(last: DataFrame, members: DataFrame, level: str, period_type: str) -> DataFrame:
-    rows = last.filter(F.col("period_type") == period_type)
-    if period_type != ALLTIME:
-        rows = rows.withColumn("period", period_label(F.col("period_start"), period_type))
-    rows = activity.with_org_totals(rows, members) if level == ORG else activity.with_alltime(rows, members)
-    return rows.select(*schemas.INTERACTION_INPUT[level, period_type].names)

@@ -12,7 +12,7 @@ import frames
 from membertide import schemas
 from membertide.operators.dedup import dedup_alltime, dedup_daily
 from membertide.operators.history import with_bounds, with_previous
-from membertide.plans import pipelines
+from membertide.plans import pipelines, stages
 from membertide.schemas import APP, CALENDAR_PERIODS, ORG, RATE_VARIANTS, TOTAL_KEYS, TOTAL_VARIANTS
 from membertide.sources import readers, star_tables, writers
 
@@ -99,7 +99,7 @@ def test_file_order_is_row_order(spark, tmp_path):
 @pytest.fixture(scope="module")
 def written(spark, sources, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("stages"))
-    pipelines.run_all(spark, *sources, root, files=10, export_inputs=True)
+    stages.run_all(spark, *sources, root, "v1", files=10, export_inputs=True)
     return root
 
 
@@ -139,8 +139,8 @@ def test_stage_files(spark, sources, written, level, period_type):
 
 
 def test_serving_and_chart_files(spark, sources, written):
-    assert frames.rows(spark.read.parquet(f"{written}/serving/totals")) == frames.rows(pipelines.serving_totals(*sources))
-    assert frames.rows(spark.read.parquet(f"{written}/serving/rates")) == frames.rows(pipelines.serving_rates(*sources))
+    assert frames.rows(spark.read.parquet(f"{written}/serving/totals/v1")) == frames.rows(pipelines.serving_totals(*sources))
+    assert frames.rows(spark.read.parquet(f"{written}/serving/rates/v1")) == frames.rows(pipelines.serving_rates(*sources))
     for period_type in CALENDAR_PERIODS:
         for name, build in (("totals", pipelines.chart_totals), ("rates", pipelines.chart_rates)):
             expected = build(*sources, period_type)
@@ -160,10 +160,35 @@ def test_exports_of_the_serving_tables(spark, sources, tmp_path):
             assert frames.rows(read(spark, f"{tmp_path}/{name}-{fmt}", fmt)) == frames.rows(export)
 
 
-def test_running_again_replaces(spark, sources, written):
-    before = frames.rows(spark.read.parquet(f"{written}/serving/totals"))
-    pipelines.run_all(spark, *sources, written)
-    assert frames.rows(spark.read.parquet(f"{written}/serving/totals")) == before
+def test_next_version_upserts_the_same_records(spark, sources, written):
+    """Running again replaces every stage and, upserted, changes no record."""
+    stages.run_all(spark, *sources, written, "v2", previous="v1")
+    for name in ("totals", "rates"):
+        first, second = (spark.read.parquet(stages.serving_path(written, name, v)) for v in ("v1", "v2"))
+        assert frames.rows(first) == frames.rows(second)
+
+
+def test_year_ranges(spark, written):
+    found = spark.read.option("header", True).csv(f"{written}/charts/totals-years/yearly")
+    assert frames.rows(found) == [("1995", "2002")]
+
+
+def test_command_line(spark, sources, tmp_path):
+    from membertide.__main__ import main
+
+    interactions, therapists = sources
+    writers.write_export(therapists, f"{tmp_path}/t")
+    writers.write_export(interactions, f"{tmp_path}/i")
+    main([f"{tmp_path}/t", f"{tmp_path}/i", f"{tmp_path}/out", "v1", "--sequence", "seq"])
+    assert frames.rows(spark.read.parquet(f"{tmp_path}/out/serving/totals/v1")) == frames.rows(
+        pipelines.serving_totals(*sources))
+    # Taken up again at a later stage.
+    main([f"{tmp_path}/t", f"{tmp_path}/i", f"{tmp_path}/out", "v2", "--sequence", "seq",
+          "--stages", "history", "rates", "serve", "--adjacency", "strict"])
+    assert frames.rows(spark.read.parquet(f"{tmp_path}/out/serving/rates/v2")) == frames.rows(
+        pipelines.serving_rates(*sources, "strict"))
+    with pytest.raises(ValueError):
+        stages.run_all(spark, *sources, f"{tmp_path}/out", "v3", only=("guess",))
 
 
 def test_one_file(spark, sources, tmp_path):
