@@ -38,12 +38,11 @@ def bars(export: DataFrame, period_type: str) -> DataFrame:
     """Mean value per bar: ``chart_year, period, type, value``.
 
     Weekly and monthly charts are cut by calendar year and show only periods that lie within
-    one, so a week across New Year is in none. There is one yearly chart; its rows have a NULL
-    ``chart_year`` and ``year_range`` gives its title's years.
+    one, so a week across New Year is in none. There is a single yearly chart and hence no
+    ``chart_year``; ``year_range`` gives the years of its title.
     """
-    rows = app_rows(export, period_type)
-    if period_type == YEARLY:
-        rows = rows.withColumn("chart_year", F.lit(None).cast("int"))
-    else:
+    rows, chart = app_rows(export, period_type), []
+    if period_type != YEARLY:
         rows = rows.filter(F.year("start_date") == F.year("end_date")).withColumn("chart_year", F.year("start_date"))
-    return rows.groupBy("chart_year", "period", "type").agg(F.avg("value").alias("value"))
+        chart = ["chart_year"]
+    return rows.groupBy(*chart, "period", "type").agg(F.avg("value").alias("value"))

@@ -17,8 +17,13 @@ def with_bounds(active: DataFrame, period_type: str) -> DataFrame:
 
 
 def sort_by_period(df: DataFrame) -> DataFrame:
-    """Ascending by period, unknown dates last."""
-    return df.orderBy(F.col("period_start").asc_nulls_last(), F.col("period_end").asc_nulls_last())
+    """Ascending by period, unknown dates last.
+
+    Organizations break ties, so that a sort over few periods can still be split into many
+    ranges.
+    """
+    ties = ["organization_id"] if "organization_id" in df.columns else []
+    return df.orderBy(F.col("period_start").asc_nulls_last(), F.col("period_end").asc_nulls_last(), *ties)
 
 
 def with_previous(active: DataFrame, period_type: str | None = None, adjacency: str = COMPAT) -> DataFrame:

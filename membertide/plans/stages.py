@@ -15,7 +15,7 @@ from membertide.operators import charts as charting
 from membertide.operators import serving
 from membertide.operators.activity import activity_summary, last_organization, with_alltime, with_org_totals
 from membertide.operators.cleaning import clean_interactions, clean_therapists
-from membertide.operators.history import sort_by_period, with_bounds, with_previous
+from membertide.operators.history import with_bounds, with_previous
 from membertide.operators.rating import with_rates
 from membertide.operators.totals import total_all, total_per_org
 from membertide.plans.pipelines import therapist_input
@@ -94,11 +94,11 @@ def _active(spark: SparkSession, root: str, level: str, period_type: str) -> Dat
 
 
 def history(spark: SparkSession, root: str, adjacency: str = COMPAT) -> None:
-    """Add the figures of the period before."""
+    """Add the figures of the period before; rows stay in the window's order, series by series."""
     for level, period_type in RATE_VARIANTS:
         enriched = with_previous(_active(spark, root, level, period_type), period_type, adjacency)
         writers.write_delimited(
-            sort_by_period(enriched).select(*schemas.rate_input(level).names),
+            enriched.select(*schemas.rate_input(level).names),
             writers.stage_path(root, "rate_input", level, period_type),
         )
 

@@ -262,6 +262,7 @@ def statements() -> dict[str, str]:
             *(_active("app", p) for p in PERIODS),
         ),
     }
+    sql["chart_rates_year_range"] = sql["chart_year_range"]
     totals, total_ctes = _all_totals()
     rates, rate_ctes = _all_rates()
     sql["serving_totals"] = _query(totals, *total_ctes)
@@ -275,7 +276,8 @@ def statements() -> dict[str, str]:
         "SELECT all_time_period, total_ther AS all_time_thers, therapist_id FROM latest_alltime, alltime", LATEST_ALLTIME
     )
     for level, p in TOTALLED:
-        sql[f"serve_totals_{level}_{p}"] = _query(_total_records(level, p), _active(level, p))
+        sent = "*" if level == "org" else "* EXCLUDE (organization_id)"
+        sql[f"serve_totals_{level}_{p}"] = _query(f"SELECT {sent} FROM {_total_records(level, p)}", _active(level, p))
     for level, p in RATED:
         figures, before = _columns(level, *FIGURES), ", ".join(BEFORE)
         bounds = "period_start, period_end"
@@ -291,7 +293,8 @@ def statements() -> dict[str, str]:
             f"SELECT {bounds}, {_columns(level, 'churn_rate', 'retention_rate')} FROM rates_{level}_{p}",
             _rates(level, p),
         )
-        sql[f"serve_rates_{level}_{p}"] = _query(_rate_records(level, p), _rates(level, p))
+        sent = "*" if level == "org" else "* EXCLUDE (organization_id)"
+        sql[f"serve_rates_{level}_{p}"] = _query(f"SELECT {sent} FROM {_rate_records(level, p)}", _rates(level, p))
     for p in PERIODS:
         sql[f"interaction_input_app_{p}"] = _query(
             f"SELECT period, total_ther AS all_time_thers, therapist_id "
@@ -334,11 +337,11 @@ def statements() -> dict[str, str]:
             ("rates", _rate_records("app", p), "type", _rates("app", p)),
         ):
             if p == "yearly":
-                year, inside = "CAST(NULL AS INTEGER)", "TRUE"
+                year, inside = "", "TRUE"
             else:
-                year, inside = "CAST(year(start_date) AS INTEGER)", "year(start_date) = year(end_date)"
+                year, inside = "CAST(year(start_date) AS INTEGER) AS chart_year, ", "year(start_date) = year(end_date)"
             sql[f"chart_{name}_{p}"] = _query(
-                f"SELECT {year} AS chart_year, {_label('start_date', p)} AS period, {kind} AS type, "
+                f"SELECT {year}{_label('start_date', p)} AS period, {kind} AS type, "
                 f"avg(value) AS value FROM {records} WHERE {inside} GROUP BY ALL",
                 ctes,
             )

@@ -45,6 +45,13 @@ def test_columns_go_by_header_name(spark, tmp_path):
     assert frames.rows(found) == [("007", 3, "2021-01-05 00:00:00"), ("b", None, "2021-01-06 10:30:00")]
 
 
+def test_files_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,organization_id,date_joined\na,1,2021-01-05\n")
+    (tmp_path / "b.csv").write_text("organization_id,id,date_joined\n1,a,2021-01-05\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_therapists(spark, str(tmp_path)).collect()
+
+
 def test_wrong_values_fail_or_become_null(spark, tmp_path):
     (tmp_path / "t.csv").write_text("id,organization_id,date_joined\na,many,2021-01-05\n")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):

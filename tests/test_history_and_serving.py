@@ -156,7 +156,7 @@ def test_chart_bars(spark):
     assert frames.rows(charts.bars(export, "weekly")) == [
         (2021, "2021-01-04/2021-01-10", "active", 4.5), (2021, "2021-01-04/2021-01-10", "inactive", 1.0)]
     assert frames.rows(charts.bars(export, "monthly")) == [(2020, "2020-12", "active", 7.0)]
-    assert frames.rows(charts.bars(export, "yearly")) == [(None, "2020", "active", 8.0)]
+    assert frames.rows(charts.bars(export, "yearly")) == [("2020", "active", 8.0)]
     assert frames.rows(charts.year_range(export, "weekly")) == [(2020, 2022)]
 
 
