@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from membertide.functions.periods import period_end, period_label, period_start
 from membertide.operators.dedup import dedup_alltime, dedup_period
-from membertide.operators.totals import alltime_scalar, org_sizes
+from membertide.operators.totals import Totals
 from membertide.schemas import ALLTIME, APP, CALENDAR_PERIODS, MONTHLY, ORG, WEEKLY, check_variant
 
 ORG_SLICES = 32
 
 
-def with_alltime(interactions: DataFrame, therapists: DataFrame) -> DataFrame:
+def with_alltime(interactions: DataFrame, totals: Totals) -> DataFrame:
     """Attach the all-time label and total as ``all_time_period`` and ``all_time_thers``."""
-    alltime = alltime_scalar(therapists)
+    alltime = totals.scalar()
     return interactions.withColumns(
         {"all_time_period": alltime["all_time_period"], "all_time_thers": alltime["total_ther"]}
     )
@@ -25,7 +25,7 @@ def with_alltime(interactions: DataFrame, therapists: DataFrame) -> DataFrame:
 
 def with_org_totals(
     interactions: DataFrame,
-    therapists: DataFrame,
+    totals: Totals,
     spread_by: Sequence[str] = ("therapist_id",),
     slices: int = ORG_SLICES,
 ) -> DataFrame:
@@ -36,7 +36,7 @@ def with_org_totals(
     of ``spread_by``, and every size is repeated once per slice. The hash is deterministic, so
     a task that runs again sends each row where it went before.
     """
-    sizes = org_sizes(therapists).select(
+    sizes = totals.sizes.select(
         "organization_id",
         F.col("total_ther").alias("total_thers_in_org"),
         F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"),
@@ -45,7 +45,7 @@ def with_org_totals(
     return sliced.join(sizes, ["organization_id", "slice"], "left").drop("slice")
 
 
-def active_therapists(interactions: DataFrame, therapists: DataFrame, level: str, period_type: str) -> DataFrame:
+def active_therapists(interactions: DataFrame, totals: Totals, level: str, period_type: str) -> DataFrame:
     """One variant: ``period, period_start, period_end, [organization_id], active, inactive, total``.
 
     A therapist counts once per period, under the organization of the last interaction in it.
@@ -55,15 +55,15 @@ def active_therapists(interactions: DataFrame, therapists: DataFrame, level: str
     """
     check_variant(level, period_type)
     if period_type == ALLTIME:
-        return _active_alltime(interactions, therapists)
+        return _active_alltime(interactions, totals)
 
     last = dedup_period(interactions, period_type)
     if level == APP:
         counted = last.groupBy("period_start").agg(F.count("*").alias("active_ther"))
-        counted = counted.withColumn("total_ther", alltime_scalar(therapists)["total_ther"])
+        counted = counted.withColumn("total_ther", totals.scalar()["total_ther"])
     else:
         counted = last.groupBy("period_start", "organization_id").agg(F.count("*").alias("active_ther"))
-        counted = counted.join(org_sizes(therapists), "organization_id", "left")
+        counted = counted.join(totals.sizes, "organization_id", "left")
 
     start = F.col("period_start")
     return counted.select(
@@ -77,8 +77,8 @@ def active_therapists(interactions: DataFrame, therapists: DataFrame, level: str
     )
 
 
-def _active_alltime(interactions: DataFrame, therapists: DataFrame) -> DataFrame:
-    alltime = alltime_scalar(therapists)
+def _active_alltime(interactions: DataFrame, totals: Totals) -> DataFrame:
+    alltime = totals.scalar()
     counted = dedup_alltime(interactions).agg(F.count("*").alias("active_ther"))
     return counted.filter(F.col("active_ther") > 0).select(
         alltime["all_time_period"].alias("period"),
@@ -127,7 +127,7 @@ def last_organization(interactions: DataFrame) -> DataFrame:
     )
 
 
-def activity_summary(last: DataFrame, therapists: DataFrame) -> DataFrame:
+def activity_summary(last: DataFrame, totals: Totals) -> DataFrame:
     """All seven variants in one frame from ``last_organization``.
 
     ``level, period_type, organization_id, period_start, period_end, active, inactive, total``;
@@ -135,7 +135,7 @@ def activity_summary(last: DataFrame, therapists: DataFrame) -> DataFrame:
     period, so application counts are sums of organization counts and no second count of
     therapists is needed.
     """
-    alltime = alltime_scalar(therapists)
+    alltime = totals.scalar()
     per_org = last.groupBy("period_type", "period_start", "organization_id").agg(F.count("*").alias("n"))
     counted = (
         per_org.groupingSets(
@@ -146,7 +146,7 @@ def activity_summary(last: DataFrame, therapists: DataFrame) -> DataFrame:
         )
         .agg(F.grouping("organization_id").alias("is_app"), F.sum("n").alias("active_ther"))
         .filter((F.col("is_app") == 1) | (F.col("period_type") != ALLTIME))
-        .join(org_sizes(therapists), "organization_id", "left")
+        .join(totals.sizes, "organization_id", "left")
     )
     is_app = F.col("is_app") == 1
     is_alltime = F.col("period_type") == ALLTIME

@@ -2,14 +2,37 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from membertide.functions.periods import range_label
 
 
+@dataclass(frozen=True)
+class Totals:
+    """What activity is measured against, counted from therapists or read from files.
+
+    ``alltime`` has at most one row: ``period_start, period_end, total_ther, all_time_period``.
+    ``sizes`` has ``organization_id, total_ther``. The number of organizations grows with the
+    data, so joins with ``sizes`` carry no broadcast hint: Spark compares its size with
+    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges.
+    """
+
+    alltime: DataFrame
+    sizes: DataFrame
+
+    def scalar(self) -> Column:
+        """The row of ``alltime`` as a struct-valued scalar subquery.
+
+        Spark runs the subquery once and hands its value to the tasks; no join is involved.
+        """
+        return self.alltime.select(F.struct(*self.alltime.columns).alias("alltime")).scalar()
+
+
 def alltime_period(therapists: DataFrame) -> DataFrame:
-    """One row: first and last join date, the label between them and the number of rows.
+    """One row: first and last join date, the number of rows and the label between the dates.
 
     Totals count rows, not distinct ids. No therapists at all give no row.
     """
@@ -23,32 +46,20 @@ def alltime_period(therapists: DataFrame) -> DataFrame:
     )
 
 
-def alltime_scalar(therapists: DataFrame) -> Column:
-    """The row of ``alltime_period`` as a struct-valued scalar subquery.
-
-    Spark runs the subquery once and hands its value to the tasks; no join is involved.
-    """
-    row = alltime_period(therapists)
-    return row.select(F.struct(*row.columns).alias("alltime")).scalar()
-
-
-def total_all(therapists: DataFrame) -> DataFrame:
-    return alltime_period(therapists).select(F.col("all_time_period").alias("period"), F.col("total_ther").alias("total"))
+def count_totals(therapists: DataFrame) -> Totals:
+    sizes = therapists.groupBy("organization_id").agg(F.count("*").alias("total_ther"))
+    return Totals(alltime_period(therapists), sizes)
 
 
-def total_per_org(therapists: DataFrame) -> DataFrame:
-    return (
-        therapists.groupBy("organization_id")
-        .agg(F.count("*").alias("total"))
-        .select(alltime_scalar(therapists)["all_time_period"].alias("period"), "organization_id", "total")
+def total_all(totals: Totals) -> DataFrame:
+    return totals.alltime.select(
+        F.col("all_time_period").alias("period"), F.col("total_ther").alias("total")
     )
 
 
-def org_sizes(therapists: DataFrame) -> DataFrame:
-    """``organization_id, total_ther``: the side that other frames are joined with.
-
-    Joins below carry no broadcast hint. The number of organizations grows with the data, so
-    Spark compares its size with ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
-    sort-merges, splitting the partitions of an outsized organization.
-    """
-    return therapists.groupBy("organization_id").agg(F.count("*").alias("total_ther"))
+def total_per_org(totals: Totals) -> DataFrame:
+    return totals.sizes.select(
+        totals.scalar()["all_time_period"].alias("period"),
+        "organization_id",
+        F.col("total_ther").alias("total"),
+    )

@@ -15,25 +15,26 @@ from membertide.operators.cleaning import clean_interactions, clean_therapists
 from membertide.operators.dedup import dedup_alltime, dedup_period
 from membertide.operators.history import with_previous
 from membertide.operators.rating import with_rates
+from membertide.operators.totals import count_totals
 from membertide.schemas import ALLTIME, APP, COMPAT, ORG, RATE_VARIANTS
 
 
 def therapist_input(therapists: DataFrame) -> DataFrame:
     """Every counted therapist with the all-time label."""
     members = clean_therapists(therapists)
-    label = activity.alltime_scalar(members)["all_time_period"]
+    label = count_totals(members).scalar()["all_time_period"]
     return members.select(label.alias("all_time_period"), "organization_id", "id")
 
 
 def interaction_input(interactions: DataFrame, therapists: DataFrame, level: str, period_type: str) -> DataFrame:
     """One row per counted therapist and period, with the total it is measured against."""
     schemas.check_variant(level, period_type)
-    rows, members = clean_interactions(interactions), clean_therapists(therapists)
+    rows, totals = clean_interactions(interactions), count_totals(clean_therapists(therapists))
     last = dedup_alltime(rows) if period_type == ALLTIME else dedup_period(rows, period_type)
     if level == ORG:
-        last = activity.with_org_totals(last, members)
+        last = activity.with_org_totals(last, totals)
     else:
-        last = activity.with_alltime(last, members)
+        last = activity.with_alltime(last, totals)
     return last.select(*schemas.INTERACTION_INPUT[level, period_type].names)
 
 
@@ -43,9 +44,8 @@ def active(interactions: DataFrame, therapists: DataFrame, level: str, period_ty
 
 
 def _active(interactions: DataFrame, therapists: DataFrame, level: str, period_type: str) -> DataFrame:
-    return activity.active_therapists(
-        clean_interactions(interactions), clean_therapists(therapists), level, period_type
-    )
+    totals = count_totals(clean_therapists(therapists))
+    return activity.active_therapists(clean_interactions(interactions), totals, level, period_type)
 
 
 def rate_input(
@@ -76,7 +76,7 @@ def rate_feed(
 def summary(interactions: DataFrame, therapists: DataFrame) -> DataFrame:
     """All seven variants out of one pass over the interactions."""
     last = activity.last_organization(clean_interactions(interactions))
-    return activity.activity_summary(last, clean_therapists(therapists))
+    return activity.activity_summary(last, count_totals(clean_therapists(therapists)))
 
 
 def _summary_rates(figures: DataFrame, adjacency: str) -> DataFrame:

@@ -17,7 +17,7 @@ from membertide.operators.activity import activity_summary, last_organization, w
 from membertide.operators.cleaning import clean_interactions, clean_therapists
 from membertide.operators.history import with_bounds, with_previous
 from membertide.operators.rating import with_rates
-from membertide.operators.totals import total_all, total_per_org
+from membertide.operators.totals import Totals, count_totals, total_all, total_per_org
 from membertide.plans.pipelines import therapist_input
 from membertide.schemas import (
     ALLTIME,
@@ -36,15 +36,18 @@ STAGES = ("totals", "activity", "history", "rates", "serve", "charts")
 
 def totals(therapists: DataFrame, root: str) -> None:
     """Total therapists, of the application and per organization."""
-    members = clean_therapists(therapists)
-    writers.write_tsv(total_all(members), f"{root}/num_of_ther/all")
-    writers.write_tsv(total_per_org(members), f"{root}/num_of_ther/per-org")
+    counted = count_totals(clean_therapists(therapists))
+    writers.write_tsv(total_all(counted), f"{root}/num_of_ther/all")
+    writers.write_tsv(total_per_org(counted), f"{root}/num_of_ther/per-org")
 
 
-def activity(spark: SparkSession, interactions: DataFrame, therapists: DataFrame, root: str) -> None:
+def _totals(spark: SparkSession, root: str) -> Totals:
+    return readers.read_totals(spark, f"{root}/num_of_ther/all", f"{root}/num_of_ther/per-org")
+
+
+def activity(spark: SparkSession, interactions: DataFrame, root: str) -> None:
     """Active, inactive and total therapists of all seven variants from one pass."""
-    last = last_organization(clean_interactions(interactions))
-    _write_active(spark, last, clean_therapists(therapists), root)
+    _write_active(spark, last_organization(clean_interactions(interactions)), root)
 
 
 def activity_with_inputs(
@@ -55,18 +58,18 @@ def activity_with_inputs(
     These rows are one per therapist and period. They are written as a table first, which the
     exports and the counts then share.
     """
-    members = clean_therapists(therapists)
     path = f"{root}/last_organization"
     last_organization(clean_interactions(interactions)).write.mode("overwrite").partitionBy("period_type").parquet(path)
     last = spark.read.parquet(path)
-    _write_active(spark, last, members, root)
+    _write_active(spark, last, root)
 
+    totals_read = _totals(spark, root)
     writers.write_delimited(therapist_input(therapists), f"{root}/therapist_input", files=files)
     for level, period_type in TOTAL_VARIANTS:
         rows = last.filter(F.col("period_type") == period_type)
         if period_type != ALLTIME:
             rows = rows.withColumn("period", period_label(F.col("period_start"), period_type))
-        rows = with_org_totals(rows, members) if level == ORG else with_alltime(rows, members)
+        rows = with_org_totals(rows, totals_read) if level == ORG else with_alltime(rows, totals_read)
         writers.write_delimited(
             rows.select(*schemas.INTERACTION_INPUT[level, period_type].names),
             writers.stage_path(root, "interaction_input", level, period_type),
@@ -74,9 +77,9 @@ def activity_with_inputs(
         )
 
 
-def _write_active(spark: SparkSession, last: DataFrame, members: DataFrame, root: str) -> None:
+def _write_active(spark: SparkSession, last: DataFrame, root: str) -> None:
     path = f"{root}/activity"
-    activity_summary(last, members).write.mode("overwrite").parquet(path)
+    activity_summary(last, _totals(spark, root)).write.mode("overwrite").parquet(path)
     figures = spark.read.parquet(path)
     start, end = F.col("period_start"), F.col("period_end")
     for level, period_type in TOTAL_VARIANTS:
@@ -167,7 +170,7 @@ def run_all(
     if "activity" in only and export_inputs:
         activity_with_inputs(spark, interactions, therapists, root, files)
     elif "activity" in only:
-        activity(spark, interactions, therapists, root)
+        activity(spark, interactions, root)
     if "history" in only:
         history(spark, root, adjacency)
     if "rates" in only:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from membertide import schemas
+from membertide.functions.periods import label_bounds
 from membertide.operators.dedup import SEQ
+from membertide.operators.totals import Totals
 
 EXPORT_FORMATS = ("csv", "json", "parquet")
 
@@ -100,6 +102,19 @@ def read_org_sizes(spark: SparkSession, path: str) -> DataFrame:
     return read_delimited(spark, path, schemas.TOTAL_PER_ORG, "\t").select("organization_id", "total_thers_in_org")
 
 
+def read_totals(spark: SparkSession, all_path: str, per_org_path: str) -> Totals:
+    """Totals from the files of an earlier run; of the all-time file the first row counts."""
+    row = read_total_all(spark, all_path).limit(1)
+    start, end = label_bounds(F.col("all_time_period"), schemas.ALLTIME)
+    alltime = row.select(
+        start.alias("period_start"),
+        end.alias("period_end"),
+        F.col("all_time_thers").alias("total_ther"),
+        "all_time_period",
+    )
+    return Totals(alltime, read_org_sizes(spark, per_org_path).withColumnRenamed("total_thers_in_org", "total_ther"))
+
+
 def read_therapist_input(spark: SparkSession, path: str) -> DataFrame:
     return read_delimited(spark, path, schemas.THERAPIST_INPUT)
 

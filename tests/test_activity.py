@@ -1,16 +1,19 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
+from datetime import date, timedelta
 
 import pandas as pd
 import pytest
+from dateutil.relativedelta import relativedelta
 
 import frames
 from frames import day
 from membertide.operators.activity import active_therapists, activity_summary, last_organization, with_org_totals
-from membertide.operators.totals import alltime_period, total_all, total_per_org
+from membertide.operators.totals import alltime_period, count_totals, total_all, total_per_org
 from membertide.plans import pipelines
-from membertide.schemas import APP, ORG, TOTAL_VARIANTS
+from membertide.schemas import APP, ORG, RATE_VARIANTS, TOTAL_VARIANTS
 
 MEMBERS = [("a", 1, "2020-03-01"), ("b", 1, "2019-05-05"), ("c", 2, "2021-07-09"), ("d", None, "2000-01-01"), ("c", 2, None)]
 ROWS = [
@@ -30,12 +33,12 @@ def test_totals(sources):
     members = therapists.filter("organization_id IS NOT NULL")
     label = "2019-05-05/2021-07-09"
     assert frames.rows(alltime_period(members)) == [(day("2019-05-05"), day("2021-07-09"), 4, label)]
-    assert frames.rows(total_all(members)) == [(label, 4)]
-    assert frames.rows(total_per_org(members)) == [(label, 1, 2), (label, 2, 2)]
+    assert frames.rows(total_all(count_totals(members))) == [(label, 4)]
+    assert frames.rows(total_per_org(count_totals(members))) == [(label, 1, 2), (label, 2, 2)]
 
 
-def _brute(level, period_type):
-    valid = [r for r in ROWS if r[3] is not None and (len(r) < 5 or r[4] > 1 or r[5] >= 1)]
+def _brute(level, period_type, rows=ROWS, members=MEMBERS):
+    valid = [r for r in rows if r[3] is not None and (len(r) < 5 or r[4] > 1 or r[5] >= 1)]
     last = {}
     for seq, who, when, org, *_ in sorted(valid):
         if period_type == "alltime":
@@ -46,7 +49,7 @@ def _brute(level, period_type):
             period = str(pd.Timestamp(when).to_period(period_type[0].upper()))
         last[who, period] = org
     counts = Counter((period, *([org] if level == ORG else [])) for (_, period), org in last.items())
-    sizes = Counter(org for _, org, _ in MEMBERS if org is not None)
+    sizes = Counter(org for _, org, _ in members if org is not None)
     found = []
     for key, n in counts.items():
         total = sum(sizes.values()) if level == APP else sizes.get(key[1])
@@ -78,7 +81,7 @@ def test_summary_holds_every_variant(sources):
         interactions, therapists = sources
         alone = active_therapists(
             interactions.filter("organization_id IS NOT NULL AND (chat_count > 1 OR call_count >= 1)"),
-            therapists.filter("organization_id IS NOT NULL"), level, period_type,
+            count_totals(therapists.filter("organization_id IS NOT NULL")), level, period_type,
         )
         assert frames.rows(part, *columns) == frames.rows(alone, *columns)
     assert summary.filter("level = 'org' AND period_type = 'alltime'").count() == 0
@@ -89,8 +92,8 @@ def test_no_input_no_rows(spark):
     nobody = frames.therapists(spark, [])
     for level, period_type in TOTAL_VARIANTS:
         assert pipelines.active(nothing, nobody, level, period_type).count() == 0
-    assert activity_summary(last_organization(nothing), nobody).count() == 0
-    assert total_all(nobody).count() == 0
+    assert activity_summary(last_organization(nothing), count_totals(nobody)).count() == 0
+    assert total_all(count_totals(nobody)).count() == 0
 
 
 def test_org_totals_without_broadcast_and_with_a_dominant_organization(spark):
@@ -100,7 +103,7 @@ def test_org_totals_without_broadcast_and_with_a_dominant_organization(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = with_org_totals(df, therapists)
+        joined = with_org_totals(df, count_totals(therapists))
         assert "BroadcastHashJoin" not in joined._jdf.queryExecution().toString()
         found = {r.seq: r.total_thers_in_org for r in joined.select("seq", "total_thers_in_org").collect()}
     finally:
@@ -113,3 +116,51 @@ def test_levels_and_periods_are_checked(sources):
         pipelines.active(*sources, ORG, "alltime")
     with pytest.raises(ValueError):
         pipelines.rates(*sources, APP, "alltime")
+
+
+@pytest.fixture(scope="module")
+def many():
+    """Sparse activity over six years, so that every kind of gap occurs."""
+    rnd = random.Random(11)
+    rows = []
+    for seq in rnd.sample(range(100_000), 1500):
+        org = rnd.choice([0, 0, 0, 1, 2, 3, 4, None])
+        days = rnd.randrange(2200) if org in (0, None) else rnd.choice([30, 400, 441, 800, 1500]) + rnd.randrange(40)
+        rows.append((seq, f"t{rnd.randrange(60)}", str(date(2016, 1, 1) + timedelta(days=days)), org,
+                     rnd.choice([0, 1, 2, 5]), rnd.choice([0, 0, 1])))
+    members = [(f"t{n}", rnd.choice([0, 1, 2, None]), "2016-01-01") for n in range(60)]
+    return rows, members
+
+
+def _row_by_row(level, period_type, rows, members):
+    """Before-period figures and rates by walking the sorted periods one by one."""
+    series = {}
+    for label, *rest in _brute(level, period_type, rows, members):
+        org, figures = (rest[0], rest[1:]) if level == ORG else (None, rest)
+        span = pd.Period(label.split("/")[0], period_type[0].upper())
+        series.setdefault(org, []).append((span.start_time.date(), span.end_time.date(), *figures))
+    inputs, rated = [], []
+    unit = {"weekly": ("days", 7), "monthly": ("months", 1), "yearly": ("years", 1)}[period_type]
+    for org, found in series.items():
+        previous = None
+        for row in sorted(found):
+            before = (0, 0)
+            if previous and getattr(relativedelta(row[1], previous[1]), unit[0]) == unit[1]:
+                before = previous[2:4]
+            who = (org,) if level == ORG else ()
+            inputs.append((*row[:2], *who, *row[2:], *before))
+            b, w = before[0], row[2]
+            rated.append((*row[:2], *who, *((round((b - w) / b, 2), round(w / b, 2)) if b else (0.0, 0.0))))
+            previous = row
+    return sorted(inputs, key=repr), sorted(rated, key=repr)
+
+
+@pytest.mark.parametrize("level, period_type", RATE_VARIANTS)
+def test_rates_against_a_row_by_row_walk(spark, many, level, period_type):
+    rows, members = many
+    sources = frames.interactions(spark, rows), frames.therapists(spark, members)
+    inputs, rated = _row_by_row(level, period_type, rows, members)
+    assert frames.rows(pipelines.rate_input(*sources, level, period_type)) == inputs
+    assert [tuple(x + 0.0 if isinstance(x, float) else x for x in row) for row in rated] == frames.rows(
+        pipelines.rates(*sources, level, period_type))
+    assert len({row[-2] for row in inputs}) > 1

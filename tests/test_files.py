@@ -112,9 +112,9 @@ def written(spark, sources, tmp_path_factory):
 
 def test_totals_files(spark, sources, written):
     from membertide.operators.cleaning import clean_therapists
-    from membertide.operators.totals import total_all, total_per_org
+    from membertide.operators.totals import count_totals, total_all, total_per_org
 
-    members = clean_therapists(sources[1])
+    members = count_totals(clean_therapists(sources[1]))
     assert frames.rows(readers.read_total_all(spark, f"{written}/num_of_ther/all")) == frames.rows(total_all(members))
     sizes = readers.read_org_sizes(spark, f"{written}/num_of_ther/per-org")
     assert frames.rows(sizes) == frames.rows(total_per_org(members), "organization_id", "total")
