@@ -42,9 +42,9 @@ def period_label(start: Column, period_type: str) -> Column:
     if period_type == WEEKLY:
         return range_label(start, period_end(start, WEEKLY))
     if period_type == MONTHLY:
-        return F.date_format(start, "yyyy-MM")
+        return F.substring(_iso(start), 1, 7)
     if period_type == YEARLY:
-        return F.date_format(start, "yyyy")
+        return F.substring(_iso(start), 1, 4)
     raise _unknown(period_type)
 
 

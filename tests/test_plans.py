@@ -57,6 +57,22 @@ def test_deduplication_is_hash_aggregation(stored):
         assert "HashAggregate" in text and "Sort" not in text and "Window" not in text
 
 
+def test_results_do_not_depend_on_the_time_zone(spark, stored):
+    def results():
+        return [
+            sorted(map(tuple, df.collect()), key=repr)
+            for df in (pipelines.rates(*stored, ORG, "monthly"), pipelines.serving_totals(*stored))
+        ]
+
+    before, here = spark.conf.get("spark.sql.session.timeZone"), results()
+    try:
+        for zone in ("America/Sao_Paulo", "Pacific/Apia"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert results() == here
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_lag_is_computed_once(stored):
     text = plan(pipelines.rates(*stored, ORG, "monthly"))
     (window,) = re.findall(r"\+- Window \[.*", text)
