@@ -79,11 +79,8 @@ def _active(level: str, p: str) -> str:
     if p == "alltime":
         return ACTIVE_ALLTIME
     if level == "app":
-        counted, total = f"SELECT period_start, count(*) AS active_ther FROM latest_{p} GROUP BY ALL", "alltime"
-        joined = f"({counted}) CROSS JOIN {total}"
-        columns = "c.period_start, active_ther, total_ther"
-        inner = f"SELECT {columns} FROM ({counted}) c, (SELECT total_ther FROM alltime)"
-        org = ""
+        counted, org = f"SELECT period_start, count(*) AS active_ther FROM latest_{p} GROUP BY ALL", ""
+        inner = f"SELECT c.*, (SELECT total_ther FROM alltime) AS total_ther FROM ({counted}) c"
     else:
         counted = f"SELECT period_start, organization_id, count(*) AS active_ther FROM latest_{p} GROUP BY ALL"
         inner = f"SELECT c.*, total_ther FROM ({counted}) c LEFT JOIN org_size USING (organization_id)"
@@ -97,9 +94,7 @@ active_{level}_{p} AS (
 
 def _adjacent(prev: str, cur: str, p: str, strict: bool = False) -> str:
     if strict:
-        unit = {"weekly": f"{cur} - {prev} = 7"}
-        default = f"date_diff('{UNIT[p]}', {prev}, {cur}) = 1"
-        return f"({unit.get(p, default)})"
+        return f"({cur} - {prev} = 7)" if p == "weekly" else f"(date_diff('{UNIT[p]}', {prev}, {cur}) = 1)"
     crossed = f"date_diff('month', {prev}, {cur})"
     whole = f"({crossed} - CASE WHEN {prev} + to_months(CAST({crossed} AS INTEGER)) > {cur} THEN 1 ELSE 0 END)"
     if p == "weekly":
@@ -199,13 +194,12 @@ FIGURES = ("active_ther", "inactive_ther", "total_ther")
 BEFORE = ("active_ther_b_period", "inactive_ther_b_period")
 
 
-def _upserted(records: str, changed: str, kind: str) -> str:
+def _upserted(records: str, changed: str, kind: str) -> tuple[str, str]:
     keys = ("organization_id", "period_type", "start_date", "end_date", kind)
     same = " AND ".join(f"t.{k} IS NOT DISTINCT FROM u.{k}" for k in keys)
-    cols = "organization_id, period_type, start_date, end_date, " + kind + ", value"
-    later = cols.replace("start_date, end_date", (
-        "CAST(start_date + INTERVAL 120 MONTH AS DATE) AS start_date, "
-        "CAST(end_date + INTERVAL 120 MONTH AS DATE) AS end_date"))
+    cols = f"organization_id, period_type, start_date, end_date, {kind}, value"
+    shift = "CAST({0} + INTERVAL 120 MONTH AS DATE) AS {0}"
+    later = cols.replace("start_date, end_date", f"{shift.format('start_date')}, {shift.format('end_date')}")
     return f"""
 SELECT {cols} FROM ({records}) t
 WHERE NOT EXISTS (SELECT 1 FROM updates u WHERE {same})
