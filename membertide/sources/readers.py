@@ -79,7 +79,7 @@ def with_file_order(df: DataFrame) -> DataFrame:
 
     ``seq`` is a struct (file, block, row) and compares field by field: files by path, then
     splits by byte offset, then rows as read. Deduplicating by a struct takes sort aggregation;
-    to repeat work on the same files, write them once with a BIGINT sequence.
+    for repeated work on the same files, ``writers.ingest_interactions`` makes it a BIGINT.
     """
     order = F.struct(
         F.col("_metadata.file_path").alias("file"),

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from membertide.operators.dedup import SEQ
 from membertide.operators.serving import upsert
 from membertide.schemas import ALLTIME, APP, check_variant
 
@@ -43,6 +45,17 @@ def write_export(df: DataFrame, path: str, fmt: str = "csv") -> None:
         raise ValueError(f"{fmt} is not a known export format")
 
 
+def ingest_interactions(interactions: DataFrame, path: str) -> None:
+    """Write interactions once as Parquet with a BIGINT ``seq`` in place of their file order.
+
+    Partitions of a sorted frame follow each other, and so do the ids given to their rows. The
+    sort key is unique, so the ranges are even; rows keep the order, and thereby whatever
+    clustering by date, that they came in.
+    """
+    in_order = interactions.orderBy(SEQ).withColumn(SEQ, F.monotonically_increasing_id())
+    in_order.write.mode("overwrite").parquet(path)
+
+
 def upsert_version(
     spark: SparkSession, current: str | None, updates: DataFrame, keys: Sequence[str], new: str
 ) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import frames
 from membertide import schemas
@@ -96,11 +97,15 @@ def test_file_order_is_row_order(spark, tmp_path):
         found = {r.therapist_id: r.organization_id for r in dedup_alltime(df).collect()}
         daily = dedup_daily(df).groupBy("therapist_id").agg(F.max("seq").alias("seq"))
         assert daily.count() == len(last)
+        writers.ingest_interactions(df, f"{tmp_path}/ingested")
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert ordered == rows
     assert found == last
+    again = readers.read_interactions(spark, f"{tmp_path}/ingested", "parquet", sequence="seq")
+    assert again.schema["seq"].dataType == T.LongType()
+    assert [(r.therapist_id, r.organization_id) for r in again.orderBy("seq").collect()] == rows
 
 
 @pytest.fixture(scope="module")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import frames
+from compare import plan
 from frames import day
 from membertide.operators import charts, serving
 from membertide.operators.history import sort_by_period, with_bounds, with_previous
@@ -129,6 +130,7 @@ def test_upsert(spark, threshold, schema, keys, kinds):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         once = serving.upsert(target, updates, keys)
+        assert "NestedLoop" not in plan(once)  # an equi-join in spite of the NULL keys
         expected = table([(None, kinds[0], 10), (None, kinds[1], 2), (5, kinds[0], 3), (6, kinds[1], 11)])
         assert frames.rows(once) == frames.rows(expected)
         assert frames.rows(serving.upsert(once, updates, keys)) == frames.rows(once)
