@@ -36,7 +36,7 @@ def keep_last(df: DataFrame, keys: Sequence[str], order_by: str = SEQ) -> DataFr
 def dedup_daily(interactions: DataFrame) -> DataFrame:
     """Last row per therapist and interaction date.
 
-    The pipelines do not need it: the last row of a period is also the last of its day, so
+    The plans do not need it: the last row of a period is also the last of its day, so
     ``dedup_period`` gives the same with or without this step.
     """
     return keep_last(interactions, ["therapist_id", "interaction_date"])

@@ -1,6 +1,6 @@
-"""User-level pipelines from the two source tables to serving records and chart figures.
+"""Key figures from the two source tables, up to serving records and chart bars.
 
-Each function takes the raw source frames and returns a lazy frame, so a pipeline is a single
+Each function takes the raw source frames and returns a lazy frame, so a result is a single
 Spark plan. ``membertide.plans.stages`` runs the same steps as a batch from files to files.
 """
 

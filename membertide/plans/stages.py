@@ -18,7 +18,7 @@ from membertide.operators.cleaning import clean_interactions, clean_therapists
 from membertide.operators.history import with_bounds, with_previous
 from membertide.operators.rating import with_rates
 from membertide.operators.totals import Totals, count_totals, total_all, total_per_org
-from membertide.plans.pipelines import therapist_input
+from membertide.plans.kpis import therapist_input
 from membertide.schemas import (
     ALLTIME,
     CALENDAR_PERIODS,

@@ -12,7 +12,7 @@ import frames
 from frames import day
 from membertide.operators.activity import active_therapists, activity_summary, last_organization, with_org_totals
 from membertide.operators.totals import alltime_period, count_totals, total_all, total_per_org
-from membertide.plans import pipelines
+from membertide.plans import kpis
 from membertide.schemas import APP, ORG, RATE_VARIANTS, TOTAL_VARIANTS
 
 MEMBERS = [("a", 1, "2020-03-01"), ("b", 1, "2019-05-05"), ("c", 2, "2021-07-09"), ("d", None, "2000-01-01"), ("c", 2, None)]
@@ -59,21 +59,21 @@ def _brute(level, period_type, rows=ROWS, members=MEMBERS):
 
 @pytest.mark.parametrize("level, period_type", TOTAL_VARIANTS)
 def test_variant_against_brute_force(sources, level, period_type):
-    assert frames.rows(pipelines.active(*sources, level, period_type)) == _brute(level, period_type)
+    assert frames.rows(kpis.active(*sources, level, period_type)) == _brute(level, period_type)
 
 
 def test_unknown_organization_has_null_total_and_inactive(sources):
-    found = [r for r in frames.rows(pipelines.active(*sources, ORG, "yearly")) if r[1] == 9]
+    found = [r for r in frames.rows(kpis.active(*sources, ORG, "yearly")) if r[1] == 9]
     assert found == [("2021", 9, 1, None, None)]
 
 
 def test_all_time_inactive_may_be_negative(spark, sources):
     few = frames.therapists(spark, MEMBERS[:1])
-    assert pipelines.active(sources[0], few, APP, "alltime").first().inactive_ther == 1 - 4
+    assert kpis.active(sources[0], few, APP, "alltime").first().inactive_ther == 1 - 4
 
 
 def test_summary_holds_every_variant(sources):
-    summary = pipelines.summary(*sources)
+    summary = kpis.summary(*sources)
     for level, period_type in TOTAL_VARIANTS:
         part = summary.filter(f"level = '{level}' AND period_type = '{period_type}'")
         columns = ["period_start", "period_end", *(["organization_id"] if level == ORG else []),
@@ -91,7 +91,7 @@ def test_no_input_no_rows(spark):
     nothing = frames.interactions(spark, [])
     nobody = frames.therapists(spark, [])
     for level, period_type in TOTAL_VARIANTS:
-        assert pipelines.active(nothing, nobody, level, period_type).count() == 0
+        assert kpis.active(nothing, nobody, level, period_type).count() == 0
     assert activity_summary(last_organization(nothing), count_totals(nobody)).count() == 0
     assert total_all(count_totals(nobody)).count() == 0
 
@@ -113,9 +113,9 @@ def test_org_totals_without_broadcast_and_with_a_dominant_organization(spark):
 
 def test_levels_and_periods_are_checked(sources):
     with pytest.raises(ValueError):
-        pipelines.active(*sources, ORG, "alltime")
+        kpis.active(*sources, ORG, "alltime")
     with pytest.raises(ValueError):
-        pipelines.rates(*sources, APP, "alltime")
+        kpis.rates(*sources, APP, "alltime")
 
 
 @pytest.fixture(scope="module")
@@ -160,7 +160,7 @@ def test_rates_against_a_row_by_row_walk(spark, many, level, period_type):
     rows, members = many
     sources = frames.interactions(spark, rows), frames.therapists(spark, members)
     inputs, rated = _row_by_row(level, period_type, rows, members)
-    assert frames.rows(pipelines.rate_input(*sources, level, period_type)) == inputs
+    assert frames.rows(kpis.rate_input(*sources, level, period_type)) == inputs
     assert [tuple(x + 0.0 if isinstance(x, float) else x for x in row) for row in rated] == frames.rows(
-        pipelines.rates(*sources, level, period_type))
+        kpis.rates(*sources, level, period_type))
     assert len({row[-2] for row in inputs}) > 1

@@ -13,7 +13,7 @@ import frames
 from membertide import schemas
 from membertide.operators.dedup import dedup_alltime, dedup_daily
 from membertide.operators.history import with_bounds, with_previous
-from membertide.plans import pipelines, stages
+from membertide.plans import kpis, stages
 from membertide.schemas import APP, CALENDAR_PERIODS, ORG, RATE_VARIANTS, TOTAL_KEYS, TOTAL_VARIANTS
 from membertide.sources import readers, star_tables, writers
 
@@ -37,7 +37,7 @@ def test_exports_of_the_source_tables(spark, sources, tmp_path, fmt):
     assert frames.rows(read.withColumns(dates), *interactions.columns) == frames.rows(interactions)
     # The figures are the same from files as from tables.
     files = readers.read_interactions(spark, f"{tmp_path}/i", fmt, sequence="seq"), readers.read_therapists(spark, f"{tmp_path}/t", fmt)
-    assert frames.rows(pipelines.active(*files, ORG, "weekly")) == frames.rows(pipelines.active(*sources, ORG, "weekly"))
+    assert frames.rows(kpis.active(*files, ORG, "weekly")) == frames.rows(kpis.active(*sources, ORG, "weekly"))
 
 
 def test_columns_go_by_header_name(spark, tmp_path):
@@ -124,7 +124,7 @@ def test_totals_files(spark, sources, written):
     sizes = readers.read_org_sizes(spark, f"{written}/num_of_ther/per-org")
     assert frames.rows(sizes) == frames.rows(total_per_org(members), "organization_id", "total")
     inputs = readers.read_therapist_input(spark, f"{written}/therapist_input")
-    assert frames.rows(inputs) == frames.rows(pipelines.therapist_input(sources[1]))
+    assert frames.rows(inputs) == frames.rows(kpis.therapist_input(sources[1]))
 
 
 @pytest.mark.parametrize("level, period_type", TOTAL_VARIANTS)
@@ -133,13 +133,13 @@ def test_stage_files(spark, sources, written, level, period_type):
     parts = spark.read.text(path).select(F.col("_metadata.file_path")).distinct().count()
     assert parts == 10
     found = readers.read_interaction_input(spark, path, level, period_type)
-    assert frames.rows(found) == frames.rows(pipelines.interaction_input(*sources, level, period_type))
+    assert frames.rows(found) == frames.rows(kpis.interaction_input(*sources, level, period_type))
 
     active = readers.read_active(spark, writers.stage_path(written, "active_ther", level, period_type), level)
-    assert frames.rows(active) == frames.rows(pipelines.active(*sources, level, period_type))
+    assert frames.rows(active) == frames.rows(kpis.active(*sources, level, period_type))
     if period_type == "alltime":
         return
-    expected = pipelines.rate_input(*sources, level, period_type)
+    expected = kpis.rate_input(*sources, level, period_type)
     path = writers.stage_path(written, "rate_input", level, period_type)
     assert frames.rows(readers.read_rate_input(spark, path, level)) == frames.rows(expected)
     # From the text of the stage before, by parsing its labels.
@@ -147,14 +147,14 @@ def test_stage_files(spark, sources, written, level, period_type):
     assert frames.rows(parsed, *expected.columns) == frames.rows(expected)
     path = writers.stage_path(written, "rate_output", level, period_type)
     assert frames.rows(readers.read_rate_output(spark, path, level)) == frames.rows(
-        pipelines.rates(*sources, level, period_type))
+        kpis.rates(*sources, level, period_type))
 
 
 def test_serving_and_chart_files(spark, sources, written):
-    assert frames.rows(spark.read.parquet(f"{written}/serving/totals/v1")) == frames.rows(pipelines.serving_totals(*sources))
-    assert frames.rows(spark.read.parquet(f"{written}/serving/rates/v1")) == frames.rows(pipelines.serving_rates(*sources))
+    assert frames.rows(spark.read.parquet(f"{written}/serving/totals/v1")) == frames.rows(kpis.serving_totals(*sources))
+    assert frames.rows(spark.read.parquet(f"{written}/serving/rates/v1")) == frames.rows(kpis.serving_rates(*sources))
     for period_type in CALENDAR_PERIODS:
-        for name, build in (("totals", pipelines.chart_totals), ("rates", pipelines.chart_rates)):
+        for name, build in (("totals", kpis.chart_totals), ("rates", kpis.chart_rates)):
             expected = build(*sources, period_type)
             found = spark.read.schema(expected.schema).option("header", True).csv(f"{written}/charts/{name}/{period_type}")
             assert frames.rows(found) == frames.rows(expected)
@@ -164,8 +164,8 @@ def test_exports_of_the_serving_tables(spark, sources, tmp_path):
     from membertide.operators.charts import rates_export, totals_export
 
     for name, export, read in (
-        ("totals", totals_export(pipelines.serving_totals(*sources)), readers.read_totals_export),
-        ("rates", rates_export(pipelines.serving_rates(*sources)), readers.read_rates_export),
+        ("totals", totals_export(kpis.serving_totals(*sources)), readers.read_totals_export),
+        ("rates", rates_export(kpis.serving_rates(*sources)), readers.read_rates_export),
     ):
         for fmt in readers.EXPORT_FORMATS:
             writers.write_export(export, f"{tmp_path}/{name}-{fmt}", fmt)
@@ -193,28 +193,28 @@ def test_command_line(spark, sources, tmp_path):
     writers.write_export(interactions, f"{tmp_path}/i")
     main([f"{tmp_path}/t", f"{tmp_path}/i", f"{tmp_path}/out", "v1", "--sequence", "seq"])
     assert frames.rows(spark.read.parquet(f"{tmp_path}/out/serving/totals/v1")) == frames.rows(
-        pipelines.serving_totals(*sources))
+        kpis.serving_totals(*sources))
     # Taken up again at a later stage.
     main([f"{tmp_path}/t", f"{tmp_path}/i", f"{tmp_path}/out", "v2", "--sequence", "seq",
           "--stages", "history", "rates", "serve", "--adjacency", "strict"])
     assert frames.rows(spark.read.parquet(f"{tmp_path}/out/serving/rates/v2")) == frames.rows(
-        pipelines.serving_rates(*sources, "strict"))
+        kpis.serving_rates(*sources, "strict"))
     with pytest.raises(ValueError):
         stages.run_all(spark, *sources, f"{tmp_path}/out", "v3", only=("guess",))
 
 
 def test_one_file(spark, sources, tmp_path):
-    writers.write_tsv(pipelines.active(*sources, APP, "monthly"), f"{tmp_path}/x", files=1)
+    writers.write_tsv(kpis.active(*sources, APP, "monthly"), f"{tmp_path}/x", files=1)
     assert len(list((tmp_path / "x").glob("part-*"))) == 1
     found = readers.read_active(spark, f"{tmp_path}/x", APP)
-    assert frames.rows(found) == frames.rows(pipelines.active(*sources, APP, "monthly"))
+    assert frames.rows(found) == frames.rows(kpis.active(*sources, APP, "monthly"))
 
 
 def test_upsert_versions(spark, sources, tmp_path):
-    first = pipelines.total_feed(*sources, APP, "yearly")
+    first = kpis.total_feed(*sources, APP, "yearly")
     v1 = writers.upsert_version(spark, None, first, TOTAL_KEYS, f"{tmp_path}/v1")
     changed = first.withColumn("value", F.col("value") + 1)
-    more = pipelines.total_feed(*sources, APP, "monthly")
+    more = kpis.total_feed(*sources, APP, "monthly")
     v2 = writers.upsert_version(spark, f"{tmp_path}/v1", changed.unionByName(more), TOTAL_KEYS, f"{tmp_path}/v2")
     assert frames.rows(v1) == frames.rows(first)
     assert frames.rows(v2) == frames.rows(changed.unionByName(more))

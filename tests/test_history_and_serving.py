@@ -8,7 +8,7 @@ from compare import plan
 from frames import day
 from membertide.operators import charts, serving
 from membertide.operators.history import sort_by_period, with_bounds, with_previous
-from membertide.plans import pipelines
+from membertide.plans import kpis
 from membertide.schemas import (
     APP, COMPAT, ORG, RATE_KEYS, RATE_RECORD, RATE_VARIANTS, STRICT, TOTAL_KEYS, TOTAL_RECORD, TOTAL_VARIANTS,
 )
@@ -98,20 +98,20 @@ def sources(spark, sf_dir):
 
 
 def test_one_pass_equals_union_of_feeds(sources):
-    feeds = serving.union_feeds(pipelines.total_feed(*sources, *v) for v in TOTAL_VARIANTS)
-    assert frames.rows(pipelines.serving_totals(*sources)) == frames.rows(feeds)
-    feeds = serving.union_feeds(pipelines.rate_feed(*sources, *v) for v in RATE_VARIANTS)
-    assert frames.rows(pipelines.serving_rates(*sources)) == frames.rows(feeds)
+    feeds = serving.union_feeds(kpis.total_feed(*sources, *v) for v in TOTAL_VARIANTS)
+    assert frames.rows(kpis.serving_totals(*sources)) == frames.rows(feeds)
+    feeds = serving.union_feeds(kpis.rate_feed(*sources, *v) for v in RATE_VARIANTS)
+    assert frames.rows(kpis.serving_rates(*sources)) == frames.rows(feeds)
 
 
 def test_active_and_inactive_make_up_the_total(sources):
     for level in (APP, ORG):
-        df = pipelines.active(*sources, level, "monthly")
+        df = kpis.active(*sources, level, "monthly")
         assert df.filter("active_ther + inactive_ther <> total_ther").count() == 0
 
 
 def test_churn_and_retention_make_up_one(sources):
-    df = pipelines.rates(*sources, ORG, "monthly").filter("churn_rate <> 0 OR retention_rate <> 0")
+    df = kpis.rates(*sources, ORG, "monthly").filter("churn_rate <> 0 OR retention_rate <> 0")
     assert df.filter("abs(churn_rate + retention_rate - 1) > 0.0100001").count() == 0
 
 
