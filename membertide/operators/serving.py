@@ -53,11 +53,11 @@ def records_by_org(records: DataFrame) -> DataFrame:
     sortable = F.struct(
         "start_date", "end_date", "period_type", order.alias("rank"), F.struct(*payload).alias("record")
     )
-    in_order = F.array_sort(F.collect_list(sortable))
+    in_order = F.sort_array(F.collect_list(sortable))
     return (
         records.filter(F.col("organization_id").isNotNull())
         .groupBy("organization_id")
-        .agg(F.transform(in_order, lambda item: item["record"]).alias("records"))
+        .agg(in_order.getField("record").alias("records"))
     )
 
 
