@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text that a Python worker takes up at once, in bytes; a longer single text comes alone.
 CHUNK_BYTES = 4 << 20
@@ -103,6 +104,11 @@ def small(side: DataFrame, width: int = 16) -> DataFrame:
     return F.broadcast(side) if rows <= BROADCAST_ROWS and rows * width <= BROADCAST_BYTES else side
 
 
+def extended(schema: T.StructType, **added: str) -> T.StructType:
+    """A copy of ``schema`` with further fields, by their SQL types."""
+    return T.StructType([*schema.fields, *(T.StructField(n, T._parse_datatype_string(t)) for n, t in added.items())])
+
+
 def text_key(text: Column) -> Column:
     """With the id it tells rows apart that share the id but not the text; null has a key too."""
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())

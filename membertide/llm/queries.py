@@ -5,25 +5,150 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from membertide.llm.common import ship
-from membertide.llm.packing import pack, pieces_digest
+from membertide.llm import decontaminate, line_dedup, packing, repetition, sharding, token_store, url_filter
+from membertide.llm.common import Scratch, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = Scratch(spark).path("shards")
+    grown = sharding.shard_of(F.col("doc_id"), 25)
+    sharding.write_shards(docs.withColumn("grown_shard", grown), path, shards=24)
+    return sharding.read_shards(spark, path).select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit(sharding.LAW).alias("law"),
+        "shard",
+        "slot",
+        "grown_shard",
+    )
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.dedup_lines(docs, Scratch(spark), removed="n_removed")
+    return kept.select(
+        "doc_id",
+        (F.size(F.split("text", "\n")) + F.col("n_removed")).alias("n_lines"),
+        "n_removed",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = repetition.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(_table(spark, sf_dir, "pages"), Scratch(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_hits(docs, _table(spark, sf_dir, "benchmark"))
+    return found.withColumn("n_hit", decontaminate.hit_count("spans")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("item_ids"), ","), 256).alias("items_sha256"),
+        decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark).path("token_store")
+    token_store.write(_table(spark, sf_dir, "documents"), path)
+    digest = token_store.read_all(spark, path).withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+    return token_store.with_start(digest, spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces_digest(pack(_documents(spark, sf_dir)))
+    return packing.pieces_digest(packing.pack(_table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict[str, Query]:
-    return {"op10_packing": op10_packing}
+    return {
+        "op2_sharding": op2_sharding,
+        "op5_line_dedup": op5_line_dedup,
+        "op6_repetition": op6_repetition,
+        "op7_url_filter": op7_url_filter,
+        "op8_decontamination": op8_decontamination,
+        "op9_token_store": op9_token_store,
+        "op10_packing": op10_packing,
+    }
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_RULES = repetition.Rules()
+
+_OP6 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w FROM documents
+), windows AS (
+  SELECT doc_id, n, i, hash(array_to_string(w[i:i + n - 1], ' ')) h1, md5(array_to_string(w[i:i + n - 1], ' ')) h
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) i
+        FROM d, (VALUES (8), ({_RULES.min_repeat}), ({_RULES.longest_repeat + 1})) AS v(n) WHERE len(w) > n)
+), twice AS (
+  SELECT doc_id, n, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, n, h1, h) c FROM windows) WHERE c > 1
+), repeats AS (
+  SELECT doc_id, count(DISTINCT p) FILTER (n = 8) n8, count(DISTINCT p) FILTER (n = {_RULES.min_repeat}) covered,
+         bool_or(n = {_RULES.longest_repeat + 1}) too_long
+  FROM (SELECT doc_id, n, unnest(range(i, i + n)) p FROM twice) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT l) n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) l FROM d)
+  WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), base AS (
+  SELECT d.doc_id, len(w)::BIGINT n_words, length(array_to_string(w, ''))::BIGINT word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT n_symbols, coalesce(l.n, 0)::BIGINT n_dup_lines,
+         coalesce(r.n8, 0)::BIGINT n_repeat_words, coalesce(r.covered, 0) covered, coalesce(r.too_long, false) too_long
+  FROM d LEFT JOIN lines l USING (doc_id) LEFT JOIN repeats r USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+         AND 100 * covered <= {_RULES.covered_percent} * n_words AND NOT too_long AS kept
+FROM base
+"""
+
+_OP8 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') win
+  FROM (SELECT item_id, w, least(len(w), 13) n, unnest(range(1, greatest(len(w) - 13, 0) + 2)) i FROM b WHERE len(w) > 0)
+), doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) i
+        FROM d, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+), hits AS (SELECT doc_id, n, i, item_id FROM doc_windows JOIN item_windows USING (n, win)),
+places AS (SELECT doc_id, count(DISTINCT p) n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) p FROM hits) GROUP BY 1),
+named AS (
+  SELECT doc_id, count(*) n_items, string_agg(s, ',' ORDER BY s) ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) s FROM hits) GROUP BY 1
+)
+SELECT doc_id, len(w)::BIGINT n_words, coalesce(n_hit, 0)::BIGINT n_hit, coalesce(n_items, 0)::BIGINT n_items,
+       sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_repetition": _OP6, "op8_decontamination": _OP8}
