@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membertide.llm import decontaminate, line_dedup, packing, repetition, sharding, token_store, url_filter
+from membertide.llm import (
+    decontaminate,
+    line_dedup,
+    ngram_join,
+    packing,
+    repetition,
+    sharding,
+    substring_dedup,
+    token_store,
+    url_filter,
+)
 from membertide.llm.common import Scratch, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +28,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = ngram_join.join_components(docs, Scratch(spark))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     path = Scratch(spark).path("shards")
@@ -34,6 +50,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substring_dedup.dedup_substrings(docs, Scratch(spark))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.dedup_lines(docs, Scratch(spark), removed="n_removed")
@@ -83,7 +105,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op2_sharding": op2_sharding,
+        "op3_substring_dedup": op3_substring_dedup,
         "op5_line_dedup": op5_line_dedup,
         "op6_repetition": op6_repetition,
         "op7_url_filter": op7_url_filter,
@@ -95,6 +119,42 @@ def queries() -> dict[str, Query]:
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_OP1 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 3) - 1], ' ') g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 0) + 2)) i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) n FROM s GROUP BY 1),
+pairs AS (
+  SELECT x.doc_id a, y.doc_id b, count(*) c FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 90 * (na.n + nb.n - c)
+), reach AS (
+  SELECT doc_id a, doc_id b FROM n UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT n_shingles, coalesce(m.c, d.doc_id) component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) c FROM reach GROUP BY 1) m ON m.a = d.doc_id
+"""
+
+_OP3 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w FROM documents
+), windows AS (
+  SELECT doc_id, i, hash(array_to_string(w[i:i + 12], ' ')) h, md5(array_to_string(w[i:i + 12], ' ')) m
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) i FROM d WHERE len(w) >= 13)
+), later AS (
+  SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h, m) first FROM windows) WHERE first < doc_id
+), gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) p FROM later),
+words AS (SELECT doc_id, unnest(w) word, unnest(range(1, len(w) + 1)) p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) t, count(*) n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1
+)
+SELECT doc_id, len(w)::BIGINT n_words, (len(w) - coalesce(n, 0))::BIGINT n_removed, sha256(coalesce(t, '')) kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 _RULES = repetition.Rules()
 
 _OP6 = rf"""
@@ -151,4 +211,4 @@ FROM d LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_repetition": _OP6, "op8_decontamination": _OP8}
+    return {"op1_ngram_join": _OP1, "op3_substring_dedup": _OP3, "op6_repetition": _OP6, "op8_decontamination": _OP8}
