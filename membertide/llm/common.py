@@ -109,6 +109,13 @@ def extended(schema: T.StructType, **added: str) -> T.StructType:
     return T.StructType([*schema.fields, *(T.StructField(n, T._parse_datatype_string(t)) for n, t in added.items())])
 
 
+def with_length(docs: DataFrame, text: str = "text") -> DataFrame:
+    """A column ``n_chars`` of integers, if there is one, brought up to date with the text."""
+    if isinstance(dict((f.name, f.dataType) for f in docs.schema).get("n_chars"), T.IntegralType):
+        return docs.withColumn("n_chars", F.length(F.col(text)).cast(docs.schema["n_chars"].dataType))
+    return docs
+
+
 def text_key(text: Column) -> Column:
     """With the id it tells rows apart that share the id but not the text; null has a key too."""
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())

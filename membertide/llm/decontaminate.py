@@ -22,9 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from membertide.llm.common import chunks, extended
+from membertide.llm.common import chunks, extended, with_length
 
 WINDOW = 13
 BLOCK_BYTES = 1 << 20
@@ -253,9 +252,3 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover
 
     clean = kept.mapInArrow(run, docs.schema)
     return with_length(clean, text)
-
-
-def with_length(docs: DataFrame, text: str = "text") -> DataFrame:
-    if isinstance(dict((f.name, f.dataType) for f in docs.schema).get("n_chars"), T.IntegralType):
-        return docs.withColumn("n_chars", F.length(F.col(text)).cast(docs.schema["n_chars"].dataType))
-    return docs

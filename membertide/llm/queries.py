@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from membertide.llm import (
     decontaminate,
     line_dedup,
@@ -15,6 +16,7 @@ from membertide.llm import (
     repetition,
     sharding,
     substring_dedup,
+    token_counts,
     token_store,
     url_filter,
 )
@@ -56,6 +58,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = token_counts.with_cleaning_edits(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    state = token_counts.build(docs).withColumn("n_tokens_before", F.col("n_tokens"))
+    edited = token_counts.update(state)
+    return edited.select("doc_id", "n_tokens_before", "n_edits", "n_encoded", "n_tokens", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.dedup_lines(docs, Scratch(spark), removed="n_removed")
@@ -108,12 +117,14 @@ def queries() -> dict[str, Query]:
         "op1_ngram_join": op1_ngram_join,
         "op2_sharding": op2_sharding,
         "op3_substring_dedup": op3_substring_dedup,
+        "op4_token_counts": op4_token_counts,
         "op5_line_dedup": op5_line_dedup,
         "op6_repetition": op6_repetition,
         "op7_url_filter": op7_url_filter,
         "op8_decontamination": op8_decontamination,
         "op9_token_store": op9_token_store,
         "op10_packing": op10_packing,
+        "pipeline": corpus_pipeline.run,
     }
 
 

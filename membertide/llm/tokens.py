@@ -88,6 +88,19 @@ class WordEncoder:
     def encode(self, texts: list[str | None], end: bytes = b"") -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers, then ``end``; null is empty."""
         split = [(t or "").encode().split() for t in texts]
+        return self._each(split, lambda words, known: b"".join([known[w] for w in words]) + end)
+
+    def counts(self, raws: list[bytes]) -> list[np.ndarray]:
+        """Per text the number of ids of each of its words."""
+        split = [r.split() for r in raws]
+        return self._each(split, lambda words, known: np.fromiter([len(known[w]) for w in words], np.int64, len(words)) // 4)
+
+    def count(self, raw: bytes) -> int:
+        """The number of ids of a short text."""
+        return sum(len(self.young.get(w) or self._word(w)) for w in raw.split()) // 4
+
+    def _each(self, split: list[list[bytes]], make) -> list:
+        """``make`` of each text's words, given the ids of every word."""
         young, old, once = self.young, self.old, []
         for word in set().union(*split).difference(young):
             known = old.get(word)
@@ -96,7 +109,7 @@ class WordEncoder:
                 if len(word) > self.longest:
                     once.append(word)
             young[word] = known
-        out = [b"".join([young[w] for w in words]) + end for words in split]
+        out = [make(words, young) for words in split]
         for word in once:
             del young[word]
         if len(young) > self.capacity:
