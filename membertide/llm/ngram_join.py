@@ -334,9 +334,10 @@ def keep_one(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: st
     """
     found = join_components(docs, scratch, doc_id=doc_id, text=text, **options)
     found = scratch.table(found.distinct(), "found")
-    first = found.filter("node IS NOT NULL").groupBy("component_id").agg(F.min(F.struct("doc_id", "version")).alias("stay"))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version")  # null ids last
+    first = found.filter("node IS NOT NULL").groupBy("component_id").agg(F.min(place).alias("stay"))
     gone = found.filter("node IS NOT NULL").join(first, found.component_id.eqNullSafe(first.component_id))
-    gone = gone.filter(~F.struct("doc_id", "version").eqNullSafe(F.col("stay"))).select(F.col("doc_id").alias("__gone_id"), F.col("version").alias("__gone_version"))
+    gone = gone.filter(~place.eqNullSafe(F.col("stay"))).select(F.col("doc_id").alias("__gone_id"), F.col("version").alias("__gone_version"))
     gone = scratch.table(gone, "gone")
     match = F.col(f"`{doc_id}`").eqNullSafe(F.col("__gone_id")) & (text_key(F.col(f"`{text}`")) == F.col("__gone_version"))
     return docs.join(small(gone, 24), match, "left_anti")
