@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import argparse
 
+from membertide.operators.dedup import SEQ
 from membertide.plans.stages import STAGES, run_all
-from membertide.schemas import ADJACENCIES, COMPAT
+from membertide.schemas import ADJACENCIES, COMPAT, INTERACTION, THERAPIST
 from membertide.session import build_session
-from membertide.sources.readers import EXPORT_FORMATS, read_interactions, read_therapists
+from membertide.sources.readers import EXPORT_FORMATS, read_interactions, read_therapists, rejected_rows
+from membertide.sources.writers import ingest_interactions, write_export
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -17,8 +19,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("root", help="shared folder for all outputs")
     parser.add_argument("version", help="name of the serving version to write")
     parser.add_argument("--previous", help="serving version to upsert into")
+    parser.add_argument("--fresh", action="store_true", help="start serving tables anew beside published versions")
     parser.add_argument("--format", choices=EXPORT_FORMATS, default="csv")
     parser.add_argument("--sequence", help="BIGINT column that rises with row order")
+    parser.add_argument("--multiline", action="store_true", help="JSON files hold one array each")
+    parser.add_argument(
+        "--lenient", action="store_true", help="wrong values become NULL; their rows are kept in ROOT/rejected"
+    )
+    parser.add_argument("--ingest", action="store_true", help="first rewrite the interactions as ROOT/ingested")
     parser.add_argument("--adjacency", choices=ADJACENCIES, default=COMPAT)
     parser.add_argument("--export-inputs", action="store_true", help="also write the counted rows")
     parser.add_argument("--files", type=int, help="part files per table of counted rows")
@@ -26,13 +34,26 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = build_session()
+    how = {"fmt": args.format, "multiline": args.multiline}
+    if args.lenient:
+        for name, path, schema in (
+            ("therapists", args.therapists, THERAPIST),
+            ("interactions", args.interactions, INTERACTION),
+        ):
+            write_export(rejected_rows(spark, path, schema, **how), f"{args.root}/rejected/{name}", "json")
+    how["lenient"] = args.lenient
+    interactions = read_interactions(spark, args.interactions, sequence=args.sequence, clean=True, **how)
+    if args.ingest:
+        ingest_interactions(interactions, f"{args.root}/ingested")
+        interactions = read_interactions(spark, f"{args.root}/ingested", "parquet", sequence=SEQ)
     run_all(
         spark,
-        read_interactions(spark, args.interactions, args.format, sequence=args.sequence),
-        read_therapists(spark, args.therapists, args.format),
+        interactions,
+        read_therapists(spark, args.therapists, **how),
         args.root,
         args.version,
         previous=args.previous,
+        fresh=args.fresh,
         adjacency=args.adjacency,
         export_inputs=args.export_inputs,
         files=args.files,

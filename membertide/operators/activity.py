@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +10,6 @@ from membertide.operators.dedup import dedup_alltime, dedup_period
 from membertide.operators.totals import Totals
 from membertide.schemas import ALLTIME, APP, CALENDAR_PERIODS, MONTHLY, ORG, WEEKLY, check_variant
 
-ORG_SLICES = 32
-
 
 def with_alltime(interactions: DataFrame, totals: Totals) -> DataFrame:
     """Attach the all-time label and total as ``all_time_period`` and ``all_time_thers``."""
@@ -23,26 +19,19 @@ def with_alltime(interactions: DataFrame, totals: Totals) -> DataFrame:
     )
 
 
-def with_org_totals(
-    interactions: DataFrame,
-    totals: Totals,
-    spread_by: Sequence[str] = ("therapist_id",),
-    slices: int = ORG_SLICES,
-) -> DataFrame:
+def with_org_totals(interactions: DataFrame, totals: Totals) -> DataFrame:
     """Left join with the size of each row's organization as ``total_thers_in_org``.
 
-    Should the sizes be too many to broadcast, both sides are shuffled, and one organization
-    may hold a large share of the rows. Its rows are spread over ``slices`` join keys by a hash
-    of ``spread_by``, and every size is repeated once per slice. The hash is deterministic, so
-    a task that runs again sends each row where it went before.
+    There is one build row per organization, so Spark's size check sees what a broadcast would
+    send. Should the sizes be too many, both sides are shuffled, and one organization may hold
+    a large share of the rows. The join key is an expression: a plain column would reuse the
+    partitioning that counted the sizes, and adaptive execution splits a skewed
+    partition only below an exchange that belongs to the join.
     """
-    sizes = totals.sizes.select(
-        "organization_id",
-        F.col("total_ther").alias("total_thers_in_org"),
-        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"),
-    )
-    sliced = interactions.withColumn("slice", F.pmod(F.xxhash64(*spread_by), F.lit(slices)).cast("int"))
-    return sliced.join(sizes, ["organization_id", "slice"], "left").drop("slice")
+    key = F.col("organization_id").cast("decimal(20,0)")
+    sizes = totals.sizes.select(key.alias("size_of"), F.col("total_ther").alias("total_thers_in_org"))
+    keyed = interactions.withColumn("size_key", key)
+    return keyed.join(sizes, F.col("size_key") == F.col("size_of"), "left").drop("size_key", "size_of")
 
 
 def active_therapists(interactions: DataFrame, totals: Totals, level: str, period_type: str) -> DataFrame:

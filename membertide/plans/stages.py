@@ -1,7 +1,9 @@
 """The batch, stage by stage. Each stage reads the tables the one before wrote below ``root``.
 
 ``root`` is a folder that all executors share. A stage replaces its own output, so a failed run
-is taken up again at the stage that failed. The interactions are read by ``activity`` alone.
+is taken up again at the stage that failed. Serving tables are versions: all tables of one are
+written, then it is published, and a published version is never written again. The interactions
+are read by ``activity`` alone.
 """
 
 from __future__ import annotations
@@ -15,12 +17,13 @@ from membertide.operators import charts as charting
 from membertide.operators import serving
 from membertide.operators.activity import activity_summary, last_organization, with_alltime, with_org_totals
 from membertide.operators.cleaning import clean_interactions, clean_therapists
-from membertide.operators.history import with_bounds, with_previous
+from membertide.operators.history import sort_by_period, with_bounds, with_previous
 from membertide.operators.rating import with_rates
 from membertide.operators.totals import Totals, count_totals, total_all, total_per_org
 from membertide.plans.kpis import therapist_input
 from membertide.schemas import (
     ALLTIME,
+    APP,
     CALENDAR_PERIODS,
     COMPAT,
     ORG,
@@ -79,7 +82,8 @@ def activity_with_inputs(
 
 def _write_active(spark: SparkSession, last: DataFrame, root: str) -> None:
     path = f"{root}/activity"
-    activity_summary(last, _totals(spark, root)).write.mode("overwrite").parquet(path)
+    summary = activity_summary(last, _totals(spark, root))
+    summary.write.mode("overwrite").partitionBy("level", "period_type").parquet(path)
     figures = spark.read.parquet(path)
     start, end = F.col("period_start"), F.col("period_end")
     for level, period_type in TOTAL_VARIANTS:
@@ -97,9 +101,9 @@ def _active(spark: SparkSession, root: str, level: str, period_type: str) -> Dat
 
 
 def history(spark: SparkSession, root: str, adjacency: str = COMPAT) -> None:
-    """Add the figures of the period before; rows stay in the window's order, series by series."""
+    """Add the figures of the period before, in the order of the periods."""
     for level, period_type in RATE_VARIANTS:
-        enriched = with_previous(_active(spark, root, level, period_type), period_type, adjacency)
+        enriched = sort_by_period(with_previous(_active(spark, root, level, period_type), period_type, adjacency))
         writers.write_delimited(
             enriched.select(*schemas.rate_input(level).names),
             writers.stage_path(root, "rate_input", level, period_type),
@@ -117,8 +121,21 @@ def rates(spark: SparkSession, root: str) -> None:
         )
 
 
-def serve(spark: SparkSession, root: str, version: str, previous: str | None = None) -> None:
-    """Upsert all records into the serving tables, from version ``previous`` to ``version``."""
+def serve(
+    spark: SparkSession, root: str, version: str, previous: str | None = None, fresh: bool = False
+) -> None:
+    """Upsert all records into the serving tables, from version ``previous`` to ``version``.
+
+    Without ``previous`` the tables hold this run's records alone; beside published versions
+    that has to be asked for by ``fresh``.
+    """
+    known = writers.published(spark, f"{root}/serving")
+    if version in known:
+        raise ValueError(f"version {version!r} is published and stays as it is")
+    if previous is not None and previous not in known:
+        raise ValueError(f"version {previous!r} is not published")
+    if previous is None and known and not fresh:
+        raise ValueError("there are published versions; name one as previous, or ask for a fresh table")
     total_feeds = [serving.total_records(_active(spark, root, lv, p), p) for lv, p in TOTAL_VARIANTS]
     rate_feeds = [
         serving.rate_records(
@@ -128,7 +145,8 @@ def serve(spark: SparkSession, root: str, version: str, previous: str | None = N
     ]
     for name, feeds, keys in (("totals", total_feeds, TOTAL_KEYS), ("rates", rate_feeds, RATE_KEYS)):
         current = serving_path(root, name, previous) if previous else None
-        writers.upsert_version(spark, current, serving.union_feeds(feeds), keys, serving_path(root, name, version))
+        writers.write_version(spark, current, serving.union_feeds(feeds), keys, serving_path(root, name, version))
+    writers.publish(spark, f"{root}/serving", version)
 
 
 def serving_path(root: str, name: str, version: str) -> str:
@@ -136,14 +154,17 @@ def serving_path(root: str, name: str, version: str) -> str:
 
 
 def charts(spark: SparkSession, root: str, version: str) -> None:
-    """Export the serving tables, and the bars of every chart made from the exports."""
-    for name, to_export, read in (
-        ("totals", charting.totals_export, readers.read_totals_export),
-        ("rates", charting.rates_export, readers.read_rates_export),
-    ):
-        exported = f"{root}/export/{name}"
-        writers.write_export(to_export(spark.read.parquet(serving_path(root, name, version))), exported)
-        export = read(spark, exported)
+    """Export the serving tables, and the bars of every chart.
+
+    Bars show the application's own records. Those lie in files of their own and are few, so no chart
+    reads the organizations' records.
+    """
+    if version not in writers.published(spark, f"{root}/serving"):
+        raise ValueError(f"version {version!r} is not published")
+    for name, to_export in (("totals", charting.totals_export), ("rates", charting.rates_export)):
+        path = serving_path(root, name, version)
+        writers.write_export(to_export(writers.read_version(spark, path)), f"{root}/export/{name}")
+        export = to_export(writers.read_version(spark, path, APP))
         for period_type in CALENDAR_PERIODS:
             writers.write_export(charting.bars(export, period_type), f"{root}/charts/{name}/{period_type}")
             writers.write_export(charting.year_range(export, period_type), f"{root}/charts/{name}-years/{period_type}")
@@ -157,6 +178,7 @@ def run_all(
     version: str,
     *,
     previous: str | None = None,
+    fresh: bool = False,
     adjacency: str = COMPAT,
     export_inputs: bool = False,
     files: int | None = None,
@@ -176,6 +198,6 @@ def run_all(
     if "rates" in only:
         rates(spark, root)
     if "serve" in only:
-        serve(spark, root, version, previous)
+        serve(spark, root, version, previous, fresh)
     if "charts" in only:
         charts(spark, root, version)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membertide.operators.dedup import SEQ
 from membertide.operators.serving import upsert
-from membertide.schemas import ALLTIME, APP, check_variant
+from membertide.schemas import ALLTIME, APP, ORG, check_variant
 
 
 def stage_path(root: str, stage: str, level: str, period_type: str) -> str:
@@ -46,24 +46,49 @@ def write_export(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
 
 def ingest_interactions(interactions: DataFrame, path: str) -> None:
-    """Write interactions once as Parquet with a BIGINT ``seq`` in place of their file order.
+    """Write interactions once as Parquet, with the BIGINT ``seq`` that tells their file order.
 
-    Partitions of a sorted frame follow each other, and so do the ids given to their rows. The
-    sort key is unique, so the ranges are even; rows keep the order, and thereby whatever
-    clustering by date, that they came in.
+    ``seq`` was made where the rows were read, so nothing is shuffled; rows keep whatever
+    clustering by date they came in.
     """
-    in_order = interactions.orderBy(SEQ).withColumn(SEQ, F.monotonically_increasing_id())
-    in_order.write.mode("overwrite").parquet(path)
+    interactions.write.mode("overwrite").parquet(path)
 
 
-def upsert_version(
+def read_version(spark: SparkSession, path: str, level: str | None = None) -> DataFrame:
+    """A serving table's records, all or those of one level; the others' files are not read."""
+    table = spark.read.parquet(path)
+    return (table if level is None else table.filter(F.col("level") == level)).drop("level")
+
+
+def write_version(
     spark: SparkSession, current: str | None, updates: DataFrame, keys: Sequence[str], new: str
 ) -> DataFrame:
-    """Write the Parquet table at ``current``, upserted with ``updates``, to the path ``new``.
+    """Write the table at ``current``, upserted with ``updates``, to the path ``new``.
 
-    The current version stays readable and a failed run leaves it untouched; the caller moves
-    on to ``new`` once this returns. The first version has no ``current``.
+    The current version stays readable, and the caller moves on to ``new`` once all tables of
+    the version are written (``publish``). Until then a run that failed may be repeated: it
+    replaces what it left at ``new``. The first version has no ``current``. Records lie in
+    a folder per level.
     """
-    merged = updates if current is None else upsert(spark.read.parquet(current), updates, keys)
-    merged.write.mode("errorifexists").parquet(new)
-    return spark.read.parquet(new)
+    merged = updates if current is None else upsert(read_version(spark, current), updates, keys)
+    level = F.when(F.col("organization_id").isNull(), APP).otherwise(ORG)
+    merged.withColumn("level", level).write.mode("overwrite").partitionBy("level").parquet(new)
+    return read_version(spark, new)
+
+
+_PUBLISHED = "version STRING"
+
+
+def published(spark: SparkSession, root: str) -> set[str]:
+    """The serving versions below ``root`` that are complete; a run adds one."""
+    try:
+        found = spark.read.schema(_PUBLISHED).parquet(f"{root}/published").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+    return {row.version for row in found}
+
+
+def publish(spark: SparkSession, root: str, version: str) -> None:
+    spark.createDataFrame([(version,)], _PUBLISHED).coalesce(1).write.mode("append").parquet(f"{root}/published")

@@ -111,6 +111,43 @@ def test_org_totals_without_broadcast_and_with_a_dominant_organization(spark):
     assert found == {n: (10 if org < 40 else None) for n, _, _, org in rows}
 
 
+def test_org_totals_build_one_row_per_organization(spark):
+    many = spark.range(200_000).selectExpr("CAST(id AS STRING) AS id", "id AS organization_id", "DATE '2020-01-01' AS date_joined")
+    df = frames.interactions(spark, [(n, f"t{n}", "2021-01-01", n) for n in range(50)])
+    joined = with_org_totals(df, count_totals(many))
+    text = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in text and "explode" not in text
+    assert {r.total_thers_in_org for r in joined.collect()} == {1}
+
+
+def test_a_dominant_organization_is_split(spark):
+    rows = spark.range(400_000).selectExpr(
+        "id AS seq", "CAST(id AS STRING) AS therapist_id", "DATE '2021-01-01' AS interaction_date", "1L AS counter",
+        "2L AS chat_count", "0L AS call_count", "IF(id % 2 = 0, 7L, id % 5000) AS organization_id",
+        "DATE '2020-01-01' AS organization_date_joined",
+    )
+    members = spark.range(5000).selectExpr("CAST(id AS STRING) AS id", "id AS organization_id", "DATE '2020-01-01' AS date_joined")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        joined = with_org_totals(rows, count_totals(members)).select("seq", "therapist_id", "total_thers_in_org")
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_levels_and_periods_are_checked(sources):
     with pytest.raises(ValueError):
         kpis.active(*sources, ORG, "alltime")

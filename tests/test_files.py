@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import json
 import random
+import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import frames
+from compare import plan
 from membertide import schemas
 from membertide.operators.dedup import dedup_alltime, dedup_daily
 from membertide.operators.history import with_bounds, with_previous
 from membertide.plans import kpis, stages
-from membertide.schemas import APP, CALENDAR_PERIODS, ORG, RATE_VARIANTS, TOTAL_KEYS, TOTAL_VARIANTS
+from membertide.schemas import APP, CALENDAR_PERIODS, LEVELS, ORG, RATE_VARIANTS, TOTAL_KEYS, TOTAL_VARIANTS
 from membertide.sources import readers, star_tables, writers
 
 
@@ -60,6 +63,26 @@ def test_wrong_values_fail_or_become_null(spark, tmp_path):
     assert readers.read_therapists(spark, f"{tmp_path}/t.csv", lenient=True).first().organization_id is None
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_integers_as_text(spark, tmp_path, fmt):
+    values = ["12", "12.0", " 7 ", "9007199254740993", "9007199254740993.00", "-3.", ""]
+    if fmt == "csv":
+        lines = ["id,organization_id,date_joined", *(f"a{i},{v},2021-01-05" for i, v in enumerate(values))]
+    else:
+        lines = [json.dumps({"id": f"a{i}", "organization_id": v or None}) for i, v in enumerate(values)]
+    (tmp_path / "good").write_text("\n".join(lines) + "\n")
+    found = {r.id: r.organization_id for r in readers.read_therapists(spark, f"{tmp_path}/good", fmt).collect()}
+    assert list(dict(sorted(found.items())).values()) == [12, 12, 7, 9007199254740993, 9007199254740993, -3, None]
+    bad = lines[-1].replace("a6,", "a6,12.5") if fmt == "csv" else '{"id": "a6", "organization_id": 12.5}'
+    (tmp_path / "bad").write_text("\n".join([*lines[:-1], bad]) + "\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        readers.read_therapists(spark, f"{tmp_path}/bad", fmt).collect()
+    lenient = readers.read_therapists(spark, f"{tmp_path}/bad", fmt, lenient=True)
+    assert lenient.filter("organization_id IS NULL").count() == 1
+    (kept,) = readers.rejected_rows(spark, f"{tmp_path}/bad", schemas.THERAPIST, fmt).collect()
+    assert (kept.id, kept.organization_id) == ("a6", "12.5")
+
+
 def test_json_array(spark, tmp_path):
     rows = [{"id": "a", "organization_id": 4, "date_joined": "2021-01-05"}, {"id": "b", "organization_id": None, "date_joined": None}]
     (tmp_path / "t.json").write_text(json.dumps(rows))
@@ -97,6 +120,8 @@ def test_file_order_is_row_order(spark, tmp_path):
         found = {r.therapist_id: r.organization_id for r in dedup_alltime(df).collect()}
         daily = dedup_daily(df).groupBy("therapist_id").agg(F.max("seq").alias("seq"))
         assert daily.count() == len(last)
+        assert "SortAggregate" not in plan(daily)
+        assert "rangepartitioning" not in plan(df) and "Exchange hash" not in plan(df)
         writers.ingest_interactions(df, f"{tmp_path}/ingested")
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
@@ -108,6 +133,22 @@ def test_file_order_is_row_order(spark, tmp_path):
     assert [(r.therapist_id, r.organization_id) for r in again.orderBy("seq").collect()] == rows
 
 
+@pytest.mark.parametrize("fmt", readers.EXPORT_FORMATS)
+def test_default_order_hashes_and_repeats(spark, sources, tmp_path, fmt):
+    writers.write_export(sources[0].orderBy("seq").coalesce(2), f"{tmp_path}/i", fmt)
+    read = lambda: readers.read_interactions(spark, f"{tmp_path}/i", fmt, clean=True)
+    active = kpis.active(read(), sources[1], ORG, "weekly")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    text = plan(active)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "SortAggregate" not in text
+    if fmt == "parquet":
+        assert "Or(GreaterThan(chat_count,1),GreaterThanOrEqual(call_count,1))" in text
+        assert "IsNotNull(organization_id)" in text
+    assert frames.rows(active) == frames.rows(kpis.active(*sources, ORG, "weekly"))
+    assert frames.rows(read()) == frames.rows(read())
+
+
 @pytest.fixture(scope="module")
 def written(spark, sources, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("stages"))
@@ -151,8 +192,14 @@ def test_stage_files(spark, sources, written, level, period_type):
 
 
 def test_serving_and_chart_files(spark, sources, written):
-    assert frames.rows(spark.read.parquet(f"{written}/serving/totals/v1")) == frames.rows(kpis.serving_totals(*sources))
-    assert frames.rows(spark.read.parquet(f"{written}/serving/rates/v1")) == frames.rows(kpis.serving_rates(*sources))
+    for name, expected in (("totals", kpis.serving_totals(*sources)), ("rates", kpis.serving_rates(*sources))):
+        path = stages.serving_path(written, name, "v1")
+        found = writers.read_version(spark, path)
+        assert found.columns == expected.columns and frames.rows(found) == frames.rows(expected)
+        own = writers.read_version(spark, path, APP)
+        assert frames.rows(own) == frames.rows(expected.filter("organization_id IS NULL"))
+        (read,) = re.findall(r"PartitionFilters: \[[^]]*\]", plan(own))
+        assert "level" in read
     for period_type in CALENDAR_PERIODS:
         for name, build in (("totals", kpis.chart_totals), ("rates", kpis.chart_rates)):
             expected = build(*sources, period_type)
@@ -176,7 +223,7 @@ def test_next_version_upserts_the_same_records(spark, sources, written):
     """Running again replaces every stage and, upserted, changes no record."""
     stages.run_all(spark, *sources, written, "v2", previous="v1")
     for name in ("totals", "rates"):
-        first, second = (spark.read.parquet(stages.serving_path(written, name, v)) for v in ("v1", "v2"))
+        first, second = (writers.read_version(spark, stages.serving_path(written, name, v)) for v in ("v1", "v2"))
         assert frames.rows(first) == frames.rows(second)
 
 
@@ -192,17 +239,36 @@ def test_command_line(spark, sources, tmp_path):
     writers.write_export(therapists, f"{tmp_path}/t")
     writers.write_export(interactions, f"{tmp_path}/i")
     main([f"{tmp_path}/t", f"{tmp_path}/i", f"{tmp_path}/out", "v1", "--sequence", "seq"])
-    assert frames.rows(spark.read.parquet(f"{tmp_path}/out/serving/totals/v1")) == frames.rows(
+    assert frames.rows(writers.read_version(spark, f"{tmp_path}/out/serving/totals/v1")) == frames.rows(
         kpis.serving_totals(*sources))
     # Taken up again at a later stage.
     main([f"{tmp_path}/t", f"{tmp_path}/i", f"{tmp_path}/out", "v2", "--sequence", "seq",
-          "--stages", "history", "rates", "serve", "--adjacency", "strict"])
-    assert frames.rows(spark.read.parquet(f"{tmp_path}/out/serving/rates/v2")) == frames.rows(
+          "--stages", "history", "rates", "serve", "--adjacency", "strict", "--fresh"])
+    assert frames.rows(writers.read_version(spark, f"{tmp_path}/out/serving/rates/v2")) == frames.rows(
         kpis.serving_rates(*sources, "strict"))
     with pytest.raises(ValueError):
         stages.run_all(spark, *sources, f"{tmp_path}/out", "v3", only=("guess",))
 
 
+def test_command_line_on_an_indented_array(spark, tmp_path):
+    from membertide.__main__ import main
+
+    members = [{"id": f"t{i}", "organization_id": 3, "date_joined": "2021-01-01"} for i in range(3)]
+    seen = [
+        {"therapist_id": f"t{i % 3}", "interaction_date": f"2021-02-0{1 + i}", "counter": 1, "chat_count": n,
+         "call_count": 0, "organization_id": 3, "organization_date_joined": None}
+        for i, n in enumerate(["2", "2.0", "many", "0"])
+    ]
+    (tmp_path / "t.json").write_text(json.dumps(members, indent=2))
+    (tmp_path / "i.json").write_text(json.dumps(seen, indent=2))
+    out = f"{tmp_path}/out"
+    main([f"{tmp_path}/t.json", f"{tmp_path}/i.json", out, "v1", "--format", "json", "--multiline", "--lenient", "--ingest"])
+    active = writers.read_version(spark, stages.serving_path(out, "totals", "v1")).filter("is_active AND period_type = 'yearly'")
+    assert {r.value for r in active.collect()} == {2}
+    (kept,) = spark.read.json(f"{out}/rejected/interactions").collect()
+    assert kept.chat_count == "many"
+
+
 def test_one_file(spark, sources, tmp_path):
     writers.write_tsv(kpis.active(*sources, APP, "monthly"), f"{tmp_path}/x", files=1)
     assert len(list((tmp_path / "x").glob("part-*"))) == 1
@@ -212,14 +278,51 @@ def test_one_file(spark, sources, tmp_path):
 
 def test_upsert_versions(spark, sources, tmp_path):
     first = kpis.total_feed(*sources, APP, "yearly")
-    v1 = writers.upsert_version(spark, None, first, TOTAL_KEYS, f"{tmp_path}/v1")
+    v1 = writers.write_version(spark, None, first, TOTAL_KEYS, f"{tmp_path}/v1")
     changed = first.withColumn("value", F.col("value") + 1)
     more = kpis.total_feed(*sources, APP, "monthly")
-    v2 = writers.upsert_version(spark, f"{tmp_path}/v1", changed.unionByName(more), TOTAL_KEYS, f"{tmp_path}/v2")
+    writers.write_version(spark, f"{tmp_path}/v1", more, TOTAL_KEYS, f"{tmp_path}/v2")
+    # A version that is not published may be written again.
+    v2 = writers.write_version(spark, f"{tmp_path}/v1", changed.unionByName(more), TOTAL_KEYS, f"{tmp_path}/v2")
     assert frames.rows(v1) == frames.rows(first)
     assert frames.rows(v2) == frames.rows(changed.unionByName(more))
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        writers.upsert_version(spark, f"{tmp_path}/v1", changed, TOTAL_KEYS, f"{tmp_path}/v2")
+
+
+def test_serving_is_taken_up_again(spark, sources, tmp_path, monkeypatch):
+    root = str(tmp_path / "out")
+    stages.run_all(spark, *sources, root, "v1", only=stages.STAGES[:4])
+    real = writers.write_version
+
+    def broken(spark, current, updates, keys, new):
+        if "/rates/" in new:
+            raise OSError("lost")
+        return real(spark, current, updates, keys, new)
+
+    monkeypatch.setattr(writers, "write_version", broken)
+    with pytest.raises(OSError):
+        stages.run_all(spark, *sources, root, "v1", only=("serve",))
+    monkeypatch.undo()
+    for stage, options in (("charts", {}), ("serve", {"previous": "v1"})):
+        with pytest.raises(ValueError, match="not published"):
+            stages.run_all(spark, *sources, root, "v1" if stage == "charts" else "v2", only=(stage,), **options)
+    stages.run_all(spark, *sources, root, "v1", only=("serve", "charts"))
+    for name, expected in (("totals", kpis.serving_totals(*sources)), ("rates", kpis.serving_rates(*sources))):
+        assert frames.rows(writers.read_version(spark, stages.serving_path(root, name, "v1"))) == frames.rows(expected)
+    for version, options in (("v1", {}), ("v2", {}), ("v1", {"fresh": True})):
+        with pytest.raises(ValueError, match="publish"):
+            stages.run_all(spark, *sources, root, version, only=("serve",), **options)
+    stages.run_all(spark, *sources, root, "v2", only=("serve",), previous="v1")
+    stages.run_all(spark, *sources, root, "v3", only=("serve",), fresh=True)
+    assert writers.published(spark, f"{root}/serving") == {"v1", "v2", "v3"}
+
+
+@pytest.mark.parametrize("level", LEVELS)
+def test_history_files_are_in_period_order(spark, written, level):
+    for period_type in CALENDAR_PERIODS:
+        folder = Path(writers.stage_path(written, "rate_input", level, period_type))
+        lines = [line for part in sorted(folder.glob("part-*")) for line in part.read_text().splitlines()]
+        periods = [tuple(line.split(",")[:2]) for line in lines]
+        assert periods and periods == sorted(periods)
 
 
 def test_variants_have_paths():
