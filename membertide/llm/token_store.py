@@ -234,7 +234,7 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id")
 
     wanted = keys.select(F.col(key).cast("bigint").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
     placed = wanted.mapInArrow(place, "doc_id bigint, part int")
-    spans = shards.select("part", "shard", "low", "high")
+    spans = spark.read.parquet(f"{path}/shards").select("part", "shard", "low", "high")
     placed = placed.join(spans, "part").filter("doc_id BETWEEN low AND high").select("part", "shard", "doc_id")
 
     def find(left: pa.Table, right: pa.Table) -> pa.Table:
