@@ -59,9 +59,8 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = token_counts.with_cleaning_edits(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    state = token_counts.build(docs).withColumn("n_tokens_before", F.col("n_tokens"))
-    edited = token_counts.update(state)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    edited = token_counts.build_and_update(docs, token_counts.cleaning_edits)
     return edited.select("doc_id", "n_tokens_before", "n_edits", "n_encoded", "n_tokens", F.sha2("text", 256).alias("text_sha256"))
 
 

@@ -17,7 +17,7 @@ and other columns pass through. No shuffle but the join of ``with_edits``.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -122,20 +122,29 @@ class TokenTree:
         return b"".join(self.leaves)
 
 
-def build(docs: DataFrame, tokenizer: str | None = None, text: str = "text", prefix: str = "") -> DataFrame:
-    """``docs`` with ``size_tree`` and ``token_tree`` (little-endian 64-bit sums) and ``n_tokens``."""
-    path, at, columns = tokenizer or default_tokenizer(), docs.columns.index(text), docs.columns
-    names = [prefix + c for c in ("size_tree", "token_tree", "n_tokens")]
+Batches = Iterator[pa.RecordBatch]
+_TREES = {"size_tree": "binary", "token_tree": "binary", "n_tokens": "bigint"}
+_TOLD = ("n_tokens_before", "n_edits", "n_skipped", "n_encoded")
+
+
+def _building(path: str, columns: list[str], text: str, prefix: str) -> Callable[[Batches], Batches]:
+    at, names = columns.index(text), [*columns, *(prefix + c for c in _TREES)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         counts = encoder(path).counts
         for chunk in chunks(batches, at):
             raws = [(t or "").encode() for t in chunk.column(at).to_pylist()]
             trees = [TokenTree.shape(raw, words) for raw, words in zip(raws, counts(raws))]
             made = [pa.array([t[i].tobytes() for t in trees], pa.binary()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*chunk.columns, *made, pa.array([int(t[1][1]) for t in trees], pa.int64())], names=[*columns, *names])
+            yield pa.RecordBatch.from_arrays([*chunk.columns, *made, pa.array([int(t[1][1]) for t in trees], pa.int64())], names=names)
 
-    return docs.mapInArrow(run, extended(docs.schema, **dict(zip(names, ("binary", "binary", "bigint")))))
+    return run
+
+
+def build(docs: DataFrame, tokenizer: str | None = None, text: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` with ``size_tree`` and ``token_tree`` (little-endian 64-bit sums) and ``n_tokens``."""
+    run = _building(tokenizer or default_tokenizer(), docs.columns, text, prefix)
+    return docs.mapInArrow(run, extended(docs.schema, **{prefix + c: t for c, t in _TREES.items()}))
 
 
 def with_edits(docs: DataFrame, edits: DataFrame, doc_id: str = "doc_id", name: str = "edits") -> DataFrame:
@@ -163,21 +172,16 @@ def in_bytes(text: str, edits: list[dict] | None) -> tuple[list[Edit], int]:
     return found, len(edits or []) - len(good)
 
 
-def update(state: DataFrame, tokenizer: str | None = None, text: str = "text", edits: str = "edits", prefix: str = "") -> DataFrame:
-    """``state`` after its edits: text, trees and n_tokens are new; further columns tell what was done.
-
-    ``n_edits`` taken, ``n_skipped``, and ``n_encoded``: words that were encoded again.
-    """
-    path, columns = tokenizer or default_tokenizer(), state.columns
+def _updating(path: str, columns: list[str], text: str, edits: str, prefix: str) -> Callable[[Batches], Batches]:
     at, edits_at = columns.index(text), columns.index(edits)
-    trees_at = [columns.index(prefix + c) for c in ("size_tree", "token_tree", "n_tokens")]
-    names = [prefix + c for c in ("n_edits", "n_skipped", "n_encoded")]
+    trees_at = [columns.index(prefix + c) for c in _TREES]
+    names = [*columns, *(prefix + c for c in _TOLD)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         coder = encoder(path)
         for chunk in chunks(batches, at):
             arrays = {i: chunk.column(i).to_pylist() for i in (at, edits_at, *trees_at)}
-            told: list[list[int]] = [[], [], []]
+            told: list[list[int]] = [arrays[trees_at[2]][:], [], [], []]
             for i in range(chunk.num_rows):
                 value, wanted = arrays[at][i], arrays[edits_at][i]
                 found, skipped = in_bytes(value, wanted) if value is not None else ([], len(wanted or []))
@@ -190,12 +194,39 @@ def update(state: DataFrame, tokenizer: str | None = None, text: str = "text", e
                     encoded = tree.encoded
                     for t, new in zip((at, *trees_at), (tree.text().decode(), sizes.tobytes(), tokens.tobytes(), int(tokens[1]))):
                         arrays[t][i] = new
-                for column, n in zip(told, (len(found), skipped, encoded)):
+                for column, n in zip(told[1:], (len(found), skipped, encoded)):
                     column.append(n)
             out = [pa.array(arrays[i], chunk.schema.field(i).type) if i in (at, *trees_at) else chunk.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*out, *(pa.array(c, pa.int64()) for c in told)], names=[*columns, *names])
+            yield pa.RecordBatch.from_arrays([*out, *(pa.array(c, pa.int64()) for c in told)], names=names)
+
+    return run
+
 
-    return state.mapInArrow(run, extended(state.schema, **dict.fromkeys(names, "bigint")))
+def update(state: DataFrame, tokenizer: str | None = None, text: str = "text", edits: str = "edits", prefix: str = "") -> DataFrame:
+    """``state`` after its edits: text, trees and n_tokens are new; further columns tell what was done.
+
+    ``n_tokens_before``, ``n_edits`` taken, ``n_skipped``, and ``n_encoded``: words that were encoded again.
+    """
+    run = _updating(tokenizer or default_tokenizer(), state.columns, text, edits, prefix)
+    return state.mapInArrow(run, extended(state.schema, **{prefix + c: "bigint" for c in _TOLD}))
+
+
+def build_and_update(
+    docs: DataFrame, find: Callable[[str], list[dict]], tokenizer: str | None = None, text: str = "text", prefix: str = ""
+) -> DataFrame:
+    """``update`` of ``build`` with the edits that ``find`` makes of each text, in one Python process a task."""
+    path, columns, at = tokenizer or default_tokenizer(), docs.columns, docs.columns.index(text)
+    edits = prefix + "edits"
+    building = _building(path, [*columns, edits], text, prefix)
+    updating = _updating(path, [*columns, edits, *(prefix + c for c in _TREES)], text, edits, prefix)
+
+    def finding(batches: Batches) -> Batches:
+        for chunk in chunks(batches, at):
+            made = [find(t or "") for t in chunk.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*chunk.columns, pa.array(made, _EDITS)], names=[*columns, edits])
+
+    added = {edits: EDITS} | {prefix + c: t for c, t in _TREES.items()} | {prefix + c: "bigint" for c in _TOLD}
+    return docs.mapInArrow(lambda batches: updating(building(finding(batches))), extended(docs.schema, **added))
 
 
 _MAIL = re.compile(r"[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -215,14 +246,3 @@ def cleaning_edits(text: str) -> list[dict]:
             found += [(begin + m.start(), begin + m.end(), "<number>") for m in _NUMBER.finditer(line)]
         begin += len(line) + 1
     return [{"begin": b, "end": e, "text": t} for b, e, t in found]
-
-
-def with_cleaning_edits(docs: DataFrame, text: str = "text", name: str = "edits") -> DataFrame:
-    at, columns = docs.columns.index(text), docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, at):
-            made = [cleaning_edits(t or "") for t in chunk.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*chunk.columns, pa.array(made, _EDITS)], names=[*columns, name])
-
-    return docs.mapInArrow(run, extended(docs.schema, **{name: EDITS}))
