@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Text that a Python worker takes up at once, in bytes; a longer single text comes alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Rows, and bytes, up to which a measured side of a join is broadcast. Beyond them it is shuffled.
 BROADCAST_ROWS = 400_000
 BROADCAST_BYTES = 32 << 20
@@ -116,6 +116,18 @@ def with_length(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs
 
 
+def split_join(left: DataFrame, right: DataFrame, on: Column, how: str = "inner") -> DataFrame:
+    """Join where both sides can compute ``on`` and ``right`` was grouped by what it is made of.
+
+    The key is an expression, so the join gets exchanges of its own instead of the one that
+    grouped ``right``, and adaptive execution can split a hot key of ``left``. Of columns that
+    both have, the left one stays.
+    """
+    ours, theirs = left.withColumn("__join_key", on), right.withColumn("__right_key", on)
+    theirs = theirs.drop(*[c for c in right.columns if c in left.columns])
+    return ours.join(theirs, F.col("__join_key") == F.col("__right_key"), how).drop("__join_key", "__right_key")
+
+
 def text_key(text: Column) -> Column:
     """With the id it tells rows apart that share the id but not the text; null has a key too."""
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())

@@ -11,27 +11,23 @@ from membertide.llm.common import Scratch
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) for every node of the links (a, b); root is the component's smallest node.
 
-    Every node points at the smallest node it knows; a round offers each node's pointer to its
-    neighbours (hooking) and then follows pointers once (shortcut). Rounds grow with the logarithm
-    of the longest chain. Each round is a written table. Minima are combined before the shuffle, so
-    a hot node costs a row a task. Nodes are longs; self-links and repeated links do no harm.
+    In a round each node hooks to its smallest neighbour if that is smaller, follows the hook once
+    more, and the links are contracted to where their ends went; links within one place are gone. A
+    component's smallest node never moves, the others do, so rounds grow with the logarithm of the
+    component and the links shrink from round to round. Steps and links are written tables; the steps are
+    put together at the end. Minima are combined before the shuffle, so a hot node costs a row a
+    task. Nodes are longs; self-links and repeated links do no harm.
     """
     both = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
     both = both.union(both.select(F.col("other"), F.col("node"))).filter("node <> other").distinct()
     edges = scratch.table(both, "edges")
-    first = edges.groupBy("node").agg(F.least("node", F.min("other")).alias("root"))
-    state = scratch.table(first, "roots")
-    while True:
-        # a neighbour's root for the node, and for the root the node had
-        theirs = edges.join(state.select(F.col("node").alias("other"), F.col("root").alias("offer")), "other")
-        own = state.withColumnRenamed("root", "had")
-        offers = theirs.join(own, "node").filter("offer < had").select("node", "had", "offer")
-        offers = offers.select("node", "offer").union(offers.select("had", "offer")).groupBy("node").agg(F.min("offer").alias("offer"))
-        hooked = state.join(offers, "node", "left").select("node", F.least("root", "offer").alias("root"))
-        jump = hooked.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        shorter = hooked.join(jump, "root", "left").select("node", F.least("root", "above").alias("root"))
-        following = scratch.table(shorter, "roots")
-        changed = following.alias("n").join(state.alias("o"), "node").filter("n.root <> o.root").limit(1).count()
-        state = following
-        if not changed:
-            return state
+    roots, place = edges.select("node").distinct().withColumn("root", F.col("node")), F.coalesce("to", "root")
+    while edges.limit(1).count():
+        hooks = edges.groupBy("node").agg(F.least("node", F.min("other")).alias("to"))
+        onward = hooks.select(F.col("node").alias("to"), F.col("to").alias("further"))
+        steps = scratch.table(hooks.join(onward, "to").select("node", F.col("further").alias("to")), "steps")
+        moved = edges.join(steps, "node").select(F.col("to").alias("node"), "other")
+        moved = moved.join(steps.withColumnsRenamed({"node": "other", "to": "end"}), "other").select("node", F.col("end").alias("other"))
+        edges = scratch.table(moved.filter("node <> other").distinct(), "edges")
+        roots = roots.join(steps.withColumnRenamed("node", "root"), "root", "left").select("node", place.alias("root"))
+    return scratch.table(roots, "roots")

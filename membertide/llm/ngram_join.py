@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from membertide.llm.common import Scratch, chunks, mix, partitions, small, text_key
+from membertide.llm.common import Scratch, chunks, mix, partitions, small, split_join, text_key
 from membertide.llm.components import components
 from membertide.llm.exchange import BUCKET_KEYS, bucketed, gathered, groups, windows, word_hashes
 
@@ -291,6 +291,14 @@ def residual_pairs(members: DataFrame, scratch: Scratch, bands: Bands) -> DataFr
 MOST_BANDS = 64
 
 
+def contracted(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """The links (a, b) between different components, as links of their roots."""
+    of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    both = links.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    ends = both.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    return ends.filter("a <> b").distinct()
+
+
 def join_components(
     docs: DataFrame, scratch: Scratch, width: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -307,22 +315,24 @@ def join_components(
     links = scratch.table(verified(nearest, sets, bands), "links")
     roots = components(links, scratch)
 
-    families = components(edges.select("a", "b"), scratch).withColumnRenamed("root", "family")
-    joined = families.join(roots, "node", "left").select("family", "node", F.coalesce("root", "node").alias("root"))
-    open_ = joined.groupBy("family").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("family")
-    rest = scratch.table(joined.join(open_, "family"), "rest")
+    # families are found among components, so what is united already adds no edge
+    apart = scratch.table(contracted(edges, roots), "apart")
+    families = components(apart, scratch).select(F.col("node").alias("root"), F.col("root").alias("family"))
+    joined = scratch.table(involved, "involved").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    rest = scratch.table(joined.join(families, "root"), "rest")
     shapes = signed.select("node", "n", "bitmap").dropDuplicates(["node"])
     upper = [bands.upper(b) for b in range(MOST_BANDS)]
     band = F.size(F.filter(F.array(*map(F.lit, upper)), lambda u: u < F.col("n")))
     members = rest.join(shapes, "node").withColumn("band", band)
     pairs = scratch.table(residual_pairs(members, scratch, bands), "pairs")
     more = scratch.table(verified(pairs, sets, bands), "links")
-    if more.limit(1).count():
-        roots = components(links.union(more), scratch)
+    further = components(scratch.table(contracted(more, roots), "further"), scratch)
+    further = further.select(F.col("node").alias("had"), F.col("root").alias("now"))
 
-    rows = signed.select("doc_id", "version", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = signed.select("doc_id", "version", "n", "node").join(roots, "node", "left").withColumn("had", F.coalesce("root", "node"))
+    rows = rows.join(further, "had", "left").withColumn("root", F.coalesce("now", "had"))
     smallest = rows.filter("node IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    found = rows.join(smallest, "root", "left").withColumn("component_id", F.coalesce("smallest", "doc_id"))
+    found = split_join(rows, smallest, F.col("root").cast("decimal(20,0)"), "left").withColumn("component_id", F.coalesce("smallest", "doc_id"))
     return found.select("doc_id", "version", "n", "node", "component_id")
 
 

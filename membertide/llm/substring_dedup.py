@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from membertide.llm.common import BROADCAST_BYTES, Scratch, chunks, partitions, small, text_key
+from membertide.llm.common import BROADCAST_BYTES, Scratch, chunks, partitions, small, split_join, text_key
 from membertide.llm.exchange import BUCKET_KEYS, bucketed, gathered, groups, windows, word_hashes
 
 WINDOW = 13
@@ -192,7 +192,7 @@ def dedup_substrings(docs: DataFrame, scratch: Scratch, window: int = WINDOW, do
         rows.filter("doc IS NOT NULL").select("doc", "version", F.xxhash64(F.lit(1), "text").alias("check"), F.octet_length("text").alias("size")), "whole"
     )
     lowest = whole.groupBy("version", "check").agg(F.min("doc").alias("lowest"), F.count("*").alias("n")).filter("n > 1")
-    copies = scratch.table(whole.join(lowest, ["version", "check"]).filter("doc > lowest").groupBy("doc").agg(F.max("version").alias("copy")), "copies")
+    copies = scratch.table(split_join(whole, lowest, F.concat(F.hex("version"), F.lit("-"), F.hex("check"))).filter("doc > lowest").groupBy("doc").agg(F.max("version").alias("copy")), "copies")
     apart = rows.filter("doc IS NOT NULL").join(small(copies, 24), "doc", "left").filter("NOT copy <=> version").select("doc", "text")
     # about a word in four bytes; two places in every run and one are chosen
     keys = (whole.agg(F.sum("size")).first()[0] or 0) // (4 * (window - lengths[0] + 2) // 2)
