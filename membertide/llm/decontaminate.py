@@ -16,7 +16,7 @@ once. An empty table of items hits nothing. Null document ids and repeated rows
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -181,43 +181,53 @@ def item_blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[Item
         yield [tuple(r) for r in part.collect()]
 
 
+Batches = Iterator[pa.RecordBatch]
+_FOUND = {"n_words": "bigint", "spans": "array<struct<begin:bigint,end:bigint>>", "item_ids": "array<string>"}
+_SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+
+
+def _finding(block: list[Item], first: bool, window: int, columns: list[str], text: str, prefix: str) -> Callable[[Batches], Batches]:
+    """A pass with one block's automaton; all but the first add to what is there."""
+    at, width, names = columns.index(text), len(columns), [*columns, *(prefix + c for c in _FOUND)]
+
+    def run(batches: Batches) -> Batches:
+        automaton = ItemAutomaton(block, window)
+        for chunk in chunks(batches, at):
+            counts, spans, found = [], [], []
+            for i, value in enumerate(chunk.column(at).to_pylist()):
+                words = normal_words(value)
+                own, ids = automaton.match(words)
+                ids.discard(None)
+                if not first:
+                    own = merged(own + [(s["begin"], s["end"]) for s in chunk.column(width + 1)[i].as_py()])
+                    ids.update(chunk.column(width + 2)[i].as_py())
+                counts.append(len(words))
+                spans.append([{"begin": b, "end": e} for b, e in own])
+                found.append(sorted(ids))
+            made = [pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*chunk.columns[:width], *made], names=names)
+
+    return run
+
+
+def _passes(docs: DataFrame, items: DataFrame, window: int, item_id: str, item_text: str, text: str, prefix: str):
+    """All passes but the last, done; the last one's function; and the schema they give."""
+    if taken := [prefix + c for c in _FOUND if prefix + c in docs.columns]:
+        raise ValueError(f"choose another prefix: {taken} are columns of the input")
+    schema = extended(docs.schema, **{prefix + c: t for c, t in _FOUND.items()})
+    out, last = docs, _finding([], True, window, docs.columns, text, prefix)
+    for number, block in enumerate(item_blocks(items, item_id, item_text)):
+        out = out.mapInArrow(last, schema) if number else out
+        last = _finding(block, not number, window, docs.columns, text, prefix)
+    return out, last, schema
+
+
 def find_hits(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, item_id: str = "item_id", item_text: str = "text", text: str = "text", prefix: str = ""
 ) -> DataFrame:
     """``docs`` with n_words, spans (of hit words, ends excluded) and item_ids, under ``prefix``."""
-    names = [prefix + c for c in ("n_words", "spans", "item_ids")]
-    if taken := [c for c in names if c in docs.columns]:
-        raise ValueError(f"choose another prefix: {taken} are columns of the input")
-    columns = docs.columns
-    at, width = columns.index(text), len(columns)
-    types = ("bigint", "array<struct<begin:bigint,end:bigint>>", "array<string>")
-    schema = extended(docs.schema, **dict(zip(names, types)))
-    span_type = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-
-    def stage(block: list[Item], first: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton = ItemAutomaton(block, window)
-            for chunk in chunks(batches, at):
-                counts, spans, found = [], [], []
-                for i, value in enumerate(chunk.column(at).to_pylist()):
-                    words = normal_words(value)
-                    own, ids = automaton.match(words)
-                    ids.discard(None)
-                    if not first:
-                        own = merged(own + [(s["begin"], s["end"]) for s in chunk.column(width + 1)[i].as_py()])
-                        ids.update(chunk.column(width + 2)[i].as_py())
-                    counts.append(len(words))
-                    spans.append([{"begin": b, "end": e} for b, e in own])
-                    found.append(sorted(ids))
-                made = [pa.array(counts, pa.int64()), pa.array(spans, span_type), pa.array(found, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*chunk.columns[:width], *made], names=[*columns, *names])
-
-        return run
-
-    out = None
-    for block in item_blocks(items, item_id, item_text):
-        out = (docs if out is None else out).mapInArrow(stage(block, out is None), schema)
-    return docs.mapInArrow(stage([], True), schema) if out is None else out
+    out, last, schema = _passes(docs, items, window, item_id, item_text, text, prefix)
+    return out.mapInArrow(last, schema)
 
 
 def hit_count(spans: str) -> F.Column:
@@ -229,8 +239,10 @@ def contaminated(n_hit: F.Column, n_words: F.Column, coverage: int = 20) -> F.Co
     return (n_hit > 0) & (coverage * n_hit >= n_words)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: int = 20, text: str = "text") -> DataFrame:
-    """Without documents whose coverage exceeds the limit, and without the spans in the others.
+def decontaminate(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: int = 20, item_id: str = "item_id", item_text: str = "text", text: str = "text"
+) -> DataFrame:
+    """Without documents whose coverage reaches the limit (``contaminated``), and without the spans in the others.
 
     Every span has at least a window's words, or is a whole short item. A column ``n_chars`` of
     integers follows the text.
@@ -238,17 +250,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover
     prefix = "__hits_"
     while any(c.startswith(prefix) for c in docs.columns):
         prefix += "_"
-    found = find_hits(docs, items, window, text=text, prefix=prefix)
-    n_hit = hit_count(f"`{prefix}spans`")
-    kept = found.filter(~contaminated(n_hit, F.col(f"`{prefix}n_words`"), coverage))
-    at, spans_at, columns = docs.columns.index(text), len(docs.columns) + 1, docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, spans = batch.column(at).to_pylist(), batch.column(spans_at).to_pylist()
-            new = [cut(t, [(x["begin"], x["end"]) for x in s]) if s else t for t, s in zip(texts, spans)]
+    out, last, _ = _passes(docs, items, window, item_id, item_text, text, prefix)
+    columns, at = docs.columns, docs.columns.index(text)
+
+    def run(batches: Batches) -> Batches:
+        for batch in last(batches):
+            texts, totals, spans = (batch.column(i).to_pylist() for i in (at, len(columns), len(columns) + 1))
+            hits = [sum(s["end"] - s["begin"] for s in own) for own in spans]
+            stays = [not n or coverage * n < total for n, total in zip(hits, totals)]
+            new = [cut(t, [(x["begin"], x["end"]) for x in s]) if s and stay else t for t, s, stay in zip(texts, spans, stays)]
             arrays = [pa.array(new, batch.schema.field(at).type) if i == at else batch.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays(arrays, names=columns)
+            yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(stays))
 
-    clean = kept.mapInArrow(run, docs.schema)
-    return with_length(clean, text)
+    return with_length(out.mapInArrow(run, docs.schema), text)

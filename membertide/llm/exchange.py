@@ -17,7 +17,7 @@ BUCKET_KEYS = 1 << 21
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to ``capacity`` words."""
 
-    capacity = 500_000
+    capacity = 100_000
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
