@@ -185,3 +185,26 @@ def test_kept_words_hash(spark):
     text = "b a  b"
     row = substring_dedup.dedup_substrings(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), Scratch(spark)).first()
     assert hashlib.sha256(row.kept.encode()).hexdigest() == hashlib.sha256(b"b a b").hexdigest()
+
+
+def template_lines(groups=150):
+    """Pairs of near copies whose lines share a long part, 0.5 or so among all of them."""
+    rng = random.Random(21)
+    shared = data.prose(rng, 20, 10**3)
+    lines = []
+    for k in range(groups):
+        own = ["%06d" % rng.randrange(10**6) for _ in range(8)]
+        lines += [" ".join(shared + own), " ".join(shared + [*own[:7], "%06d" % rng.randrange(10**6)])]
+    return lines
+
+
+@pytest.mark.parametrize("key_lines", [20_000, 20])
+def test_template_lines_lose_no_copy(spark, monkeypatch, key_lines):
+    monkeypatch.setattr(line_dedup, "KEY_LINES", key_lines)
+    monkeypatch.setattr(line_dedup, "TILE_LINES", 40)
+    lines = template_lines()
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string").repartition(3)
+    out = line_dedup.dedup_lines(docs, Scratch(spark), removed="gone").collect()
+    gone = {r.doc_id for r in out if r.gone}
+    # 99 of 100 linked pairs share a key
+    assert gone <= set(range(1, 300, 2)) and len(gone) >= 148
