@@ -215,6 +215,12 @@ def gone_lines(spark, lines):
     return {r.doc_id for r in line_dedup.dedup_lines(docs, Scratch(spark), removed="gone").collect() if r.gone}
 
 
+def test_short_lines_and_lines_without_spaces_are_judged(spark):
+    long = "".join(chr(0x4E00 + 7 * i % 5000) for i in range(120))
+    lines = ["Home", "Home", "about us", "about us", "Homer", " ", " ", "", "", "語", "語", long, long[:-2] + "別物", "a b " * 30, "a b " * 30]
+    assert gone_lines(spark, lines) == {1, 3, 10, 12, 14}
+
+
 def test_every_character_counts(spark):
     stems = ["wordnumber%02dwith" % i for i in range(12)]
     tails = [" ".join(s + "%010d" % (k * 10**8 + 7919 * i) for i, s in enumerate(stems)) for k in range(3)]
