@@ -107,11 +107,19 @@ def _segments(bands: Bands, band: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def segment_keys(shingles: np.ndarray, band: int, bands: Bands) -> np.ndarray:
-    """A key per segment of the hash space: the content of the set there."""
+    """A key per segment of the hash space: the content of the set there.
+
+    Below 90 % segments hold so few shingles that most sets would share empty ones. There a set with an empty
+    segment takes its first shingles as keys instead, enough that linked sets share one of them.
+    """
     edges, salt = _segments(bands, band)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(shingles), dtype=np.uint64)))
     at = np.concatenate(([0], np.searchsorted(shingles, edges), [len(shingles)])).astype(np.int64)
-    return mix((sums[at[1:]] - sums[at[:-1]]) ^ salt)
+    keys, filled = mix((sums[at[1:]] - sums[at[:-1]]) ^ salt), at[1:] > at[:-1]
+    if bands.percent >= 90 or filled.all():
+        return keys
+    first = shingles[: len(shingles) + 1 + -bands.percent * len(shingles) // 100]
+    return np.concatenate((keys[filled], mix(first ^ np.uint64(0x8EBC6AF09C88C6E3))))
 
 
 def bitmap(shingles: np.ndarray, bits: int) -> bytes:

@@ -228,3 +228,27 @@ def test_every_character_counts(spark):
     near = [" ".join(words), " ".join([*words[:-1], "warn"])]
     eight = ["alphabetical betamaxes gammaglobulin deltoids epsilons zetas etas thetaword", "alphabetical betamaxes gammaglobulin deltoids epsilons zetas etas thetaworm"]
     assert gone_lines(spark, [*tails, *near, *eight]) == {4, 6}
+
+
+def test_sets_linked_at_80_percent_share_a_key():
+    rng, bands = random.Random(8), ngram_join.Bands(80)
+    for k in range(3000):
+        n = 9 + k % 60 if k % 10 else 2000
+        base = [rng.getrandbits(64) for _ in range(n)]
+        gone = rng.randint(0, n // 9)
+        sets = [np.unique(np.array(s, np.uint64)) for s in (base, base[gone:] + [rng.getrandbits(64) for _ in range(gone)])]
+        if not bands.linked(n - gone, n, n):
+            continue
+        keys = []
+        for s in sets:
+            band = int(bands.of(np.array([n]))[0])
+            keys.append(set(ngram_join.segment_keys(s, band, bands).tolist()))
+        assert keys[0] & keys[1]
+
+
+def test_empty_segments_are_no_keys_at_80_percent():
+    rng, bands = np.random.default_rng(9), ngram_join.Bands(80)
+    sets = [np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64) * np.uint64(2)) for _ in range(30)]
+    band = int(bands.of(np.array([300]))[0])
+    keys = [set(ngram_join.segment_keys(s, band, bands).tolist()) for s in sets]
+    assert not any(keys[i] & keys[j] for i in range(30) for j in range(i))
