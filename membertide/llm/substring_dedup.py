@@ -3,8 +3,8 @@
 Level one looks at windows of about half the target length, level two at those of the target
 length around the ones that were repeated. From level one only the windows with the smallest hash
 of their neighbourhood are exchanged: every target window holds one, chosen by its words alone, so equal
-target windows choose alike and none is lost. Longer levels follow for targets given as several lengths:
-each is tried only where all of the last one's windows were repeated, and the search ends when none is.
+target windows choose alike and none is lost. Longer targets take further levels, each tried only where the last
+one's windows were repeated. The target is one length: repeats are not followed beyond it.
 
 Words of a window that also starts in a document with a smaller id are removed, judged on the
 input. Copies of a whole text are told by the text's hash first: all their words go, if
