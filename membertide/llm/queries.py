@@ -11,6 +11,7 @@ import corpus_pipeline
 from membertide.llm import (
     decontaminate,
     line_dedup,
+    merkle,
     ngram_join,
     packing,
     repetition,
@@ -111,6 +112,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces_digest(packing.pack(_table(spark, sf_dir, "documents")))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, scratch = _table(spark, sf_dir, "documents"), Scratch(spark)
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    leaves = docs.select("doc_id", "lang", merkle.leaf(fields).alias("leaf"), *fields[1:2], "n_chars", "text")
+    changed = F.when(tampered, merkle.leaf(fields))
+    leaves = leaves.withColumn("n_chars", F.when(tampered, F.col("n_chars") + 1)).select("doc_id", "lang", "leaf", changed.alias("changed"))
+    found = merkle.fold(merkle.build(leaves, scratch, replaced="changed"), scratch)
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -123,6 +137,7 @@ def queries() -> dict[str, Query]:
         "op8_decontamination": op8_decontamination,
         "op9_token_store": op9_token_store,
         "op10_packing": op10_packing,
+        "op11_merkle": op11_merkle,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -220,5 +235,68 @@ FROM d LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+#: crc32 by its bits, over the ASCII characters of ``s``; ``crc_table`` is one row.
+_CRC_TABLE = """
+crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) crcs
+)"""
+
+
+def _crc32(s: str) -> str:
+    codes = f"list_prepend(4294967295, list_transform(string_split({s}, ''), lambda x: ascii(x)::BIGINT))"
+    return f"xor(list_reduce({codes}, lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _field(name: str) -> str:
+    return f"coalesce(strlen({name}::VARCHAR)::VARCHAR || ':' || {name}::VARCHAR, '-')"
+
+
+def _digest(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+_OP11 = f"""
+WITH RECURSIVE {_CRC_TABLE}, docs AS (
+  SELECT doc_id, coalesce('=' || lang, '') key, {_digest("n_chars")} leaf,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 7 = 0 THEN {_digest("(n_chars + 1)")} ELSE {_digest("n_chars")} END changed
+  FROM documents, crc_table
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 pos, count(*) OVER (PARTITION BY key) total FROM docs
+), trees AS (
+  SELECT key, 0 lvl, pos, total, leaf h FROM leaves
+  UNION ALL
+  SELECT key, lvl + 1, pos // 2, (total + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM trees WHERE total > 1
+  GROUP BY key, lvl, pos // 2, total
+), subroots AS (
+  SELECT key, h, row_number() OVER (ORDER BY key) - 1 pos, count(*) OVER () total FROM trees WHERE total = 1
+), crown AS (
+  SELECT 0 lvl, pos, total, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 2, (total + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM crown WHERE total > 1 GROUP BY lvl, pos // 2, total
+), folded AS (
+  SELECT doc_id, key, leaf, 0 lvl, pos, total, changed h, '' proof FROM leaves
+  UNION ALL
+  SELECT doc_id, f.key, leaf, f.lvl + 1, f.pos // 2, (f.total + 1) // 2,
+         sha256(CASE WHEN f.pos % 2 = 1 THEN s.h || f.h ELSE f.h || coalesce(s.h, '') END), proof || coalesce(s.h, '')
+  FROM folded f LEFT JOIN trees s ON s.key = f.key AND s.lvl = f.lvl AND s.pos = xor(f.pos, 1::BIGINT) WHERE f.total > 1
+), upper_part AS (
+  SELECT doc_id, leaf, s.h subroot, 0 lvl, s.pos, s.total, f.h, proof FROM folded f JOIN subroots s USING (key) WHERE f.total = 1
+  UNION ALL
+  SELECT doc_id, leaf, subroot, u.lvl + 1, u.pos // 2, (u.total + 1) // 2,
+         sha256(CASE WHEN u.pos % 2 = 1 THEN s.h || u.h ELSE u.h || coalesce(s.h, '') END), proof || coalesce(s.h, '')
+  FROM upper_part u LEFT JOIN crown s ON s.lvl = u.lvl AND s.pos = xor(u.pos, 1::BIGINT) WHERE u.total > 1
+)
+SELECT doc_id, leaf, subroot, c.h root, sha256(proof) proof_sha256, u.h folded_root, u.h = c.h verified
+FROM upper_part u, crown c WHERE u.total = 1 AND c.total = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_join": _OP1, "op3_substring_dedup": _OP3, "op6_repetition": _OP6, "op8_decontamination": _OP8}
+    return {
+        "op1_ngram_join": _OP1,
+        "op3_substring_dedup": _OP3,
+        "op6_repetition": _OP6,
+        "op8_decontamination": _OP8,
+        "op11_merkle": _OP11,
+    }

@@ -17,6 +17,7 @@ WANTED = {
     "op7_url_filter": ["page_id", "host", "path", "rule", "verdict"],
     "op8_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op9_token_store": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op11_merkle": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
     "op10_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_id"],
 }
 
