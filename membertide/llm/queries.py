@@ -14,6 +14,8 @@ from membertide.llm import (
     merkle,
     ngram_join,
     packing,
+    parse_dedup,
+    prefix_trie,
     repetition,
     sharding,
     substring_dedup,
@@ -125,6 +127,21 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    whole = scratch.table(prefix_trie.conversations(_table(spark, sf_dir, "conversations")), "conversations")
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    length = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    found = prefix_trie.trie(prefix_trie.with_heads(whole, base, length, longest=5), scratch)
+    return found.withColumnsRenamed({"saved": "saved_tokens", "ends": "ends_sha256"})
+
+
+def op13_parse_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = parse_dedup.dedup_bytes(docs, Scratch(spark))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -138,6 +155,8 @@ def queries() -> dict[str, Query]:
         "op9_token_store": op9_token_store,
         "op10_packing": op10_packing,
         "op11_merkle": op11_merkle,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_parse_dedup": op13_parse_dedup,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -292,6 +311,59 @@ FROM upper_part u, crown c WHERE u.total = 1 AND c.total = 1
 """
 
 
+_OP12 = f"""
+WITH {_CRC_TABLE.strip()}, whole AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), asked AS (SELECT whole.*, ({_crc32("conv_id::VARCHAR")} % 6)::BIGINT h FROM whole, crc_table),
+rebuilt AS (
+  SELECT a.conv_id c, list_concat(coalesce(b.l[1:a.h], []), a.l[a.h + 1:]) l
+  FROM asked a LEFT JOIN whole b ON b.conv_id = a.conv_id - a.conv_id % 100
+), prefixes AS (
+  SELECT c, len(l) n, d, l[d].t t, sha256(l[1:d]::VARCHAR) k, sha256(l[1:d - 1]::VARCHAR) parent
+  FROM (SELECT c, l, unnest(range(0, len(l) + 1)) d FROM rebuilt)
+), nodes AS (
+  SELECT k, d, any_value(parent) parent, min(c) conv_id, count(*) n_convs, any_value(length(t)) size,
+         string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d) ends
+  FROM prefixes GROUP BY k, d
+), children AS (SELECT parent k, d - 1 d, count(*) n FROM nodes WHERE d > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(n, 0) n_children FROM nodes LEFT JOIN children USING (k, d)),
+below AS (
+  SELECT u.k, u.d, count(*) FILTER (v.n_children = 0) n_leaves, sum((v.n_convs - 1) * coalesce(v.size, 0))::BIGINT saved_tokens
+  FROM (SELECT DISTINCT x.k, x.d, y.k k2, y.d d2 FROM prefixes x JOIN prefixes y ON x.c = y.c AND x.d <= y.d) u
+  JOIN counted v ON v.k = u.k2 AND v.d = u.d2 GROUP BY u.k, u.d
+)
+SELECT m.conv_id, m.d depth, p.conv_id parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens,
+       sha256(coalesce(m.ends, '')) ends_sha256
+FROM counted m JOIN below USING (k, d) LEFT JOIN nodes p ON p.k = m.parent AND p.d = m.d - 1
+"""
+
+
+_OP13 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) x FROM documents),
+windows AS (
+  SELECT doc_id, i, hash(s) h, md5(s) m
+  FROM (SELECT doc_id, i, substr(x, 2 * i + 1, 200) s FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) i FROM d WHERE len(x) >= 200))
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY h, m ORDER BY doc_id, i) n FROM windows) WHERE n > 1
+), marked AS (
+  SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) span
+  FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END fresh FROM later)
+), spans AS (SELECT doc_id, min(i) b, max(i) + 100 e FROM marked GROUP BY doc_id, span),
+gaps AS (
+  SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) done, row_number() OVER (PARTITION BY doc_id ORDER BY b DESC) last
+  FROM spans
+), kept AS (
+  SELECT doc_id, count(*) n_spans, sum(e - b)::BIGINT n_removed,
+         string_agg(substr(x, 2 * done + 1, 2 * (b - done)) || CASE WHEN last = 1 THEN substr(x, 2 * e + 1) ELSE '' END, '' ORDER BY b) k
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (len(x) // 2)::BIGINT n_bytes, coalesce(n_removed, 0)::BIGINT n_removed, coalesce(n_spans, 0)::BIGINT n_spans,
+       sha256(unhex(coalesce(k, x))) kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_join": _OP1,
@@ -299,4 +371,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_repetition": _OP6,
         "op8_decontamination": _OP8,
         "op11_merkle": _OP11,
+        "op12_prefix_trie": _OP12,
+        "op13_parse_dedup": _OP13,
     }

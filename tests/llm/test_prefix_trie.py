@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from membertide.llm import prefix_trie, queries
+from membertide.llm.common import Scratch
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, path string, n_convs string"
+
+
+def rebuilt(rows):
+    convs = {}
+    for conv, turn, role, text, *_ in rows:
+        if conv is not None:
+            convs.setdefault(conv, []).append(((turn is not None, turn or 0), role or "", text or ""))
+    convs = {c: [t[1:] for t in sorted(ts)] for c, ts in convs.items()}
+    out = {}
+    for c in convs:
+        h = zlib.crc32(str(c).encode()) % 6
+        out[c] = convs.get(c - c % 100, [])[:h] + convs[c][h:]
+    return out
+
+
+def brute(convs):
+    members = {}
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    nodes = sorted(members, key=len, reverse=True)
+    children, leaves, saved = ({n: 0 for n in nodes} for _ in range(3))
+    for n in nodes:
+        leaves[n] = leaves[n] or 1
+        if n:
+            saved[n] += (len(members[n]) - 1) * len(n[-1][1])
+            children[n[:-1]] += 1
+            leaves[n[:-1]] += leaves[n]
+            saved[n[:-1]] += saved[n]
+    out = []
+    for n, own in members.items():
+        ends = ",".join(str(c) for c in sorted(own) if len(convs[c]) == len(n))
+        parent = min(members[n[:-1]]) if n else None
+        out.append((min(own), len(n), parent, len(own), children[n], leaves[n], saved[n], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def talks(seed=3, convs=260):
+    """Shared first turns, whole copies, one very long conversation, nulls, empties and repeated rows."""
+    rng, rows = random.Random(seed), []
+    for c in [*rng.sample(range(-150, 500), convs), 10**7 + 12]:
+        turns = rng.choice([0, 1, 2, 5, 8])
+        common = c % 3 == 0
+        for t in range(turns):
+            said = f"hot {t}" if common and t < 3 else rng.choice(["yes", "no", "né 😀", f"{rng.random()}"])
+            rows.append((c, None if t == 0 and c % 5 == 0 else t, None if c % 11 == 0 else "user", None if said == "no" else said, "p", None))
+    copies = [(t, "r", f"the same {t}") for t in range(9)]
+    rows += [(c, t, r, x, None, None) for c in range(600, 700) for t, r, x in copies]
+    rows += [(800, t, "r", "x" * (t % 4), None, None) for t in range(1500)] + [(801, t, "r", "x" * (t % 4), None, None) for t in range(1501)]
+    rows += [(None, 1, "r", "belongs to none", None, None)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("talks"))
+    spark.createDataFrame(talks(), SCHEMA).repartition(5).write.parquet(f"{path}/conversations.parquet")
+    return path
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("shards", [1, 4, 23])
+def test_trie_equals_brute_force(spark, folder, monkeypatch, shards):
+    monkeypatch.setattr(prefix_trie, "partitions", lambda spark: shards)
+    monkeypatch.setattr(prefix_trie, "BATCH", 50)
+    assert found(queries.op12_prefix_trie(spark, folder)) == brute(rebuilt(talks()))
+
+
+def test_a_small_skeleton_changes_shards_only(spark, folder, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "partitions", lambda spark: 16)
+    monkeypatch.setattr(prefix_trie, "SKELETON_BYTES", 100)
+    assert found(queries.op12_prefix_trie(spark, folder)) == brute(rebuilt(talks()))
+
+
+def test_members_come_in_bounded_rows(spark):
+    """A path that many share is a row per 65,536 consecutive ids, not a row per member."""
+    turns = spark.range(1, 200_001).selectExpr("id AS conv_id", "0L AS turn", "'u' AS role", "'hot' AS text")
+    scratch = Scratch(spark)
+    whole = scratch.table(prefix_trie.conversations(turns), "whole")
+    assert prefix_trie.paths(whole).count() == 4
+    root, node = sorted(prefix_trie.trie(whole, scratch).collect(), key=lambda r: r.depth)
+    assert (root.n_convs, root.n_children, root.n_leaves, root.saved) == (200_000, 1, 1, 199_999 * 3)
+    assert node.ends == hashlib.sha256(",".join(map(str, range(1, 200_001))).encode()).hexdigest()
+
+
+def test_skeleton_has_every_node_that_spans_a_splitter():
+    rng = random.Random(7)
+    paths = sorted({b"".join(rng.choice([b"a", b"b"]) * 8 for _ in range(rng.randrange(12))) for _ in range(300)})
+    skeleton = prefix_trie.Skeleton.over(paths, 9)
+    shards = {}
+    for p in paths:
+        for end in range(0, len(p) + 1, 8):
+            shards.setdefault(p[:end], set()).add(skeleton.shard(p))
+    assert all(n in skeleton.numbers for n, s in shards.items() if len(s) > 1) and len(skeleton.splitters) > 4
+
+
+def test_empty_table_has_no_nodes(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    assert queries.op12_prefix_trie(spark, str(tmp_path)).collect() == []
+
+
+def test_turnless_conversations_are_members_of_the_root(spark):
+    whole = spark.createDataFrame([(5, []), (4, []), (6, [(1, 2)])], "conv_id bigint, turns array<struct<hash:bigint,size:int>>")
+    rows = sorted(prefix_trie.trie(whole, Scratch(spark)).collect(), key=lambda r: r.depth)
+    assert [(r.conv_id, r.n_convs, r.n_children, r.parent_conv_id) for r in rows] == [(4, 3, 1, None), (6, 1, 0, 4)]
+    assert rows[0].ends == hashlib.sha256(b"4,5").hexdigest()

@@ -18,6 +18,8 @@ WANTED = {
     "op8_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op9_token_store": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op11_merkle": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op12_prefix_trie": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    "op13_parse_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op10_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_id"],
 }
 
