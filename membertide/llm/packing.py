@@ -150,7 +150,7 @@ def pack(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path).encode, int(end_id).to_bytes(4, "little")
+        encode = encoder(path).encode
         packer, known, pooled, done, sequence, step = TierPacker(tiers), {}, 0, [], 0, 0
         base = TaskContext.get().partitionId() << 36
 
@@ -179,7 +179,7 @@ def pack(
 
         number = 0
         for chunk in chunks(batches, 1):
-            for key, ids in zip(chunk.column(0).to_pylist(), encode(chunk.column(1).to_pylist(), end)):
+            for key, ids in zip(chunk.column(0).to_pylist(), encode(chunk.column(1), end_id)):
                 known[number] = key, ids
                 done += packer.add(number, len(ids) // 4)
                 pooled += len(ids) // 4

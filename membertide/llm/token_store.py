@@ -3,33 +3,47 @@
 ``write`` encodes each text where it is read, deals the id payloads by ranges of the document id,
 and writes shards of about ``SHARD_TOKENS`` ids in ascending order of the id. A shard is one
 row of a Parquet file with binary columns, so any store Spark writes to will do, and the
-commit of the write is Spark's. Ids of a vocabulary below 65,536 take two bytes.
+commit of the write is Spark's. A range has a folder of its own, so that a reader of one range lists no
+other. Ids of a vocabulary below 65,536 take two bytes. The ranges follow the measured size of the
+texts; their bounds come from a sample by hash, which decides sizes alone, and are by id and a row's
+place in the input, so that rows of one id, or without any, are split like all others.
 
 Each shard has a minimal perfect hash over its distinct keys: bit arrays level by level, where a
 key whose bit is its own is placed and the others go on to the next; a key's slot is the rank of
 its bit. The slot holds a fingerprint, the first document and the number of documents under the
-key; document bounds give offsets into the payload. ``lookup`` takes keys to their shards, and each
-is found in constant time there. A key that is absent is told by the fingerprint, or by 32 bits' chance.
+key; document bounds give offsets into the payload. ``lookup`` finds a key's range among the bounds and its shards
+by the ids they begin and end with, reads the files of those ranges and shards only, and takes
+constant time in each. A key that is absent is told by the fingerprint, or by 32 bits' chance.
 
-Null or empty text: the end id alone. Null keys come first in the order; they are read back, but
+Ids are taken as BIGINT. Null or empty text: the end id alone. A very long text is a shard of its
+own; it is encoded at once, by its words. Null keys come first in the order; they are read back, but
 cannot be looked up. Rows that share a key follow one another, and a lookup returns each of them.
 Empty table: no shards. Columns other than id and text are not read.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membertide.llm.common import chunks, mix, partitions
+from membertide.llm.common import chunks, flat_binary, mix, partitions, small
 from membertide.llm.tokens import default_tokenizer, encoder
 
 END_ID = 2
 SHARD_TOKENS = 1 << 19
+#: Bytes of text in a range, about; and sampled rows per range.
+PART_BYTES = 256 << 20
+SAMPLE = 64
+#: Shards in a file.
+FILE_SHARDS = 16
+#: Ranges and shards that a lookup names in its filters; beyond them it joins.
+NAMED = 2000
 GAMMA = 2.0
 #: A level is not worth it below so many bits.
 LEAST_BITS = 64
@@ -88,8 +102,8 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
 
 
 def make_shard(part: int, shard: int, keys: list[int | None], ids: list[bytes], width: int) -> dict:
-    """One shard from documents in ascending order of the key, nulls first; ids in four bytes each."""
-    bounds = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype("<i8")
+    """One shard from documents in ascending order of the key, nulls first; ids in ``width`` bytes each."""
+    bounds = np.concatenate(([0], np.cumsum([len(x) // width for x in ids]))).astype("<i8")
     nulls = sum(k is None for k in keys)
     present = np.array(keys[nulls:], np.int64)
     distinct, first, count = np.unique(present, return_index=True, return_counts=True)
@@ -98,13 +112,12 @@ def make_shard(part: int, shard: int, keys: list[int | None], ids: list[bytes],
     slots = np.zeros(len(distinct), SLOT)
     at = perfect.slots(hashed)
     slots["fingerprint"][at], slots["first"][at], slots["docs"][at] = fingerprints(hashed), first + nulls, count
-    payload = np.frombuffer(b"".join(ids), "<u4")
     return {
         "part": part, "shard": shard, "n_docs": len(keys), "n_tokens": int(bounds[-1]),
         "low": int(present[0]) if len(present) else None, "high": int(present[-1]) if len(present) else None,
         "width": width, "doc_ids": keys, "bounds": bounds.tobytes(),
         "levels": [np.packbits(b).tobytes() for b in perfect.levels], "sizes": [len(b) for b in perfect.levels],
-        "slots": slots.tobytes(), "payload": payload.astype(f"<u{width}").tobytes(),
+        "slots": slots.tobytes(), "payload": b"".join(ids),
     }
 
 
@@ -130,29 +143,41 @@ class Shard:
         return self.payload[self.bounds[document] : self.bounds[document + 1]].astype("<u4")
 
 
-def _range_bounds(docs: DataFrame, doc_id: str, parts: int) -> list[int]:
-    """Lower bounds of all ranges but the first, from a sketch over every id."""
-    steps = [i / parts for i in range(1, parts)]
-    found = docs.select(F.percentile_approx(F.col(doc_id).cast("bigint"), steps or [0.5], 10 * parts)).first()[0]
-    return sorted(set(found or [])) if steps else []
+_LEAST = 1 << 63
+
+
+def _place(key: int | None, at: int) -> int:
+    """Id (null first) and a row's place as one number in the same order."""
+    return ((0 if key is None else key + _LEAST + 1) << 64) | at
+
+
+def _range_bounds(rows: DataFrame, parts: int) -> list[int]:
+    """Lower bounds of all ranges but the first, from a sample of (doc_id, at)."""
+    if parts < 2:
+        return []
+    share = max(1, rows.count() // (SAMPLE * parts))
+    sampled = rows.select("doc_id", "at").filter(F.pmod(F.xxhash64("at"), F.lit(share)) == 0)
+    found = sorted({_place(*r) for r in sampled.limit(4 * SAMPLE * parts).collect()})
+    return sorted({found[i * len(found) // parts] for i in range(1, parts)}) if found else []
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text") -> None:
     """Write the shards of all documents to ``path``/shards and the ranges to ``path``/ranges."""
     spark, file = docs.sparkSession, tokenizer or default_tokenizer()
-    parts = partitions(spark)
-    lower = _range_bounds(docs, doc_id, parts)
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.monotonically_increasing_id().alias("at"), F.col(text).alias("text"))
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = max(partitions(spark), size // PART_BYTES + 1)
+    lower = _range_bounds(rows, parts)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end, cuts = int(end_id).to_bytes(4, "little"), np.array(lower, np.int64)
         coder = encoder(file)
         width = 2 if coder.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
-        for chunk in chunks(batches, 1):
-            ids = coder.encode(chunk.column(1).to_pylist(), end)
-            keys = chunk.column(0)
-            part = np.searchsorted(cuts, keys.fill_null(-(1 << 63)).to_numpy(), side="right").astype(np.int32)
-            raw = [np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() for x in ids]
-            yield pa.RecordBatch.from_arrays([pa.array(part), keys, pa.array(raw, pa.binary()), pa.array([width] * len(ids), pa.int32())], names=["part", "doc_id", "ids", "width"])
+        for chunk in chunks(batches, 2):
+            ids, bounds = coder.flat(chunk.column(2), end_id)
+            part = [bisect_right(lower, _place(*r)) for r in zip(*(chunk.column(i).to_pylist() for i in (0, 1)))]
+            raw = flat_binary(ids.astype(f"<u{width}"), np.diff(bounds))
+            widths = pa.array(np.full(len(part), width, np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *chunk.columns[:2], raw, widths], names=["part", "doc_id", "at", "ids", "width"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard, keys, ids, tokens, width = None, 0, [], [], 0, 2
@@ -167,16 +192,30 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
                     shard, keys, ids, tokens = (shard + 1 if p == part else 0), [], [], 0
                 part, width = p, w
                 keys.append(key)
-                ids.append(np.frombuffer(raw, f"<u{w}").astype("<u4").tobytes())
+                ids.append(raw)
                 tokens += len(raw) // w
         if keys:
             yield made()
 
-    coded = docs.select(F.col(doc_id).cast("bigint"), F.col(text)).mapInArrow(encode, "part int, doc_id bigint, ids binary, width int")
-    dealt = coded.repartitionById(parts, "part").sortWithinPartitions("part", F.asc_nulls_first("doc_id"), "ids")
-    dealt.mapInArrow(build, SHARD_SCHEMA).write.parquet(f"{path}/shards")
-    ranges = [(i, x) for i, x in enumerate([None, *lower])]
-    spark.createDataFrame(ranges, "part int, lower bigint").coalesce(1).write.parquet(f"{path}/ranges")
+    coded = rows.mapInArrow(encode, "part int, doc_id bigint, at bigint, ids binary, width int")
+    dealt = coded.repartitionById(len(lower) + 1, "part").sortWithinPartitions("part", F.asc_nulls_first("doc_id"), "at")
+    shards = dealt.select("part", "doc_id", "ids", "width").mapInArrow(build, SHARD_SCHEMA)
+    shards.withColumn("range", F.col("part")).write.option("maxRecordsPerFile", FILE_SHARDS).partitionBy("range").parquet(f"{path}/shards")
+    ranges = [(i, str(x)) for i, x in enumerate([0, *lower])]
+    spark.createDataFrame(ranges, "part int, lower string").coalesce(1).write.parquet(f"{path}/ranges")
+
+
+_STORED = f"{SHARD_SCHEMA}, range int"
+
+
+def _shards(spark: SparkSession, path: str) -> DataFrame:
+    """All shards; a store without any has no folder for them."""
+    try:
+        return spark.read.schema(_STORED).parquet(f"{path}/shards")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _STORED)
 
 
 def _starts(shards: DataFrame) -> DataFrame:
@@ -191,7 +230,7 @@ def _starts(shards: DataFrame) -> DataFrame:
 
 def read_all(spark: SparkSession, path: str) -> DataFrame:
     """Every document with its start and ids, found through its shard's index."""
-    shards = spark.read.parquet(f"{path}/shards")
+    shards = _shards(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,37 +255,49 @@ def read_all(spark: SparkSession, path: str) -> DataFrame:
 
 def with_start(found: DataFrame, spark: SparkSession, path: str) -> DataFrame:
     """``found`` with ``start`` in place of the position inside the shard; reads no payload."""
-    starts = _starts(spark.read.parquet(f"{path}/shards"))
+    starts = _starts(_shards(spark, path))
     joined = found.join(starts, ["part", "shard"])
     return joined.withColumn("start", F.col("before") + F.col("inside")).drop("part", "shard", "inside", "before")
 
 
 def lookup(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(doc_id, ids) of every distinct key in ``keys`` that is stored."""
-    ranges = [r.lower for r in spark.read.parquet(f"{path}/ranges").orderBy("part").collect()][1:]  # one row a part
-    shards = spark.read.parquet(f"{path}/shards")
+    """(doc_id, ids) of every distinct key in ``keys`` that is stored.
+
+    Up to ``NAMED`` shards are named in the filter of the read, so no other file is opened. Keys are
+    brought to the shards; payloads are exchanged only if the keys are too many to be broadcast.
+    """
+    lower = [int(r.lower) for r in spark.read.parquet(f"{path}/ranges").orderBy("part").collect()][1:]  # one row a range
+    columns = ["part", "shard", "width", "bounds", "levels", "sizes", "slots", "payload"]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts = np.array(ranges, np.int64)
         for batch in batches:
-            part = np.searchsorted(cuts, batch.column(0).to_numpy(), side="right").astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(part)], names=["doc_id", "part"])
+            found = [
+                (k, part)
+                for k in batch.column(0).to_pylist()
+                for part in range(bisect_right(lower, _place(k, 0)), bisect_right(lower, _place(k, (1 << 64) - 1)) + 1)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int32()))], names=["doc_id", "of"])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                shard, asked = Shard(row), np.array(row["asked"], np.int64)
+                first, count = shard.documents(asked)
+                found = [(k, shard.ids(d).tobytes()) for k, f, n in zip(asked.tolist(), first.tolist(), count.tolist()) for d in range(f, f + n)]
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.binary()))], names=["doc_id", "ids"])
 
     wanted = keys.select(F.col(key).cast("bigint").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
-    placed = wanted.mapInArrow(place, "doc_id bigint, part int")
-    spans = spark.read.parquet(f"{path}/shards").select("part", "shard", "low", "high")
-    placed = placed.join(spans, "part").filter("doc_id BETWEEN low AND high").select("part", "shard", "doc_id")
-
-    def find(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"doc_id": [], "ids": []}
-        asked = left.column("doc_id").to_numpy()
-        for row in right.to_pylist():
-            shard = Shard(row)
-            first, count = shard.documents(asked)
-            for k, f, n in zip(asked.tolist(), first.tolist(), count.tolist()):
-                for document in range(f, f + n):
-                    out["doc_id"].append(k)
-                    out["ids"].append(shard.ids(document).tobytes())
-        return pa.table(out, schema=pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())]))
-
-    return placed.groupBy("part", "shard").cogroup(shards.groupBy("part", "shard")).applyInArrow(find, "doc_id bigint, ids binary")
+    placed, stored = wanted.mapInArrow(place, "doc_id bigint, of int"), _shards(spark, path)
+    ranges = [r.of for r in placed.select("of").distinct().limit(NAMED + 1).collect()]
+    if len(ranges) <= NAMED:
+        stored = stored.filter(F.col("range").isin(ranges))
+    inside = (F.col("part") == F.col("of")) & F.col("doc_id").between(F.col("low"), F.col("high"))
+    asked = stored.select("part", "shard", "low", "high").join(placed, inside).groupBy("part", "shard").agg(F.collect_list("doc_id").alias("asked"))
+    named = asked.limit(NAMED + 1).collect()
+    if len(named) <= NAMED:
+        asked = small(spark.createDataFrame(named, "part int, shard int, asked array<bigint>"), 1 << 10)
+        stored = stored.filter(F.col("shard").isin(sorted({r.shard for r in named})))
+        known = [k for r in named for k in r.asked]
+        stored = stored.filter((F.col("high") >= min(known)) & (F.col("low") <= max(known))) if known else stored.limit(0)
+    return stored.select(*columns).join(asked, ["part", "shard"]).select(*columns, "asked").mapInArrow(find, "doc_id bigint, ids binary")

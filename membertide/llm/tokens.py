@@ -8,6 +8,8 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: What a tokenizer file must ask for so that simple words can go to its BPE model directly: the
 #: words are lower-cased and cut as the file's own steps would. Fixed values.
@@ -17,6 +19,8 @@ _LOWER_WORDS = {
 }
 #: Printable ASCII and the letters of Latin-1: no combining marks, one byte-level form each.
 _SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: Letters with at most one sign behind them: two pieces at most.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 #: The pattern above, on lower-case text of those characters.
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
@@ -27,25 +31,47 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Words(dict):
+    """Ids of words, which are encoded when first asked for. Words that are too long are not kept."""
+
+    def __init__(self, encode, longest: int):
+        self.encode, self.longest, self.old = encode, longest, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encode(word)
+            if len(word) > self.longest:
+                return ids
+        self[word] = ids
+        return ids
+
+    def aged(self, capacity: int) -> None:
+        """Beyond ``capacity`` words begin a generation: what it does not use will go."""
+        if len(self) > capacity:
+            self.old = dict(self)
+            self.clear()
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer that drops white space and never joins across it.
 
     Under that condition a text's ids are those of its words in turn, so each word is encoded once
-    and looked up from then on. ``capacity`` words are kept in each of two generations; what was
+    and looked up from then on. About ``capacity`` words are kept in each of two generations; what was
     not used during one generation goes.
     """
 
-    def __init__(self, path: str, capacity: int = 300_000, longest: int = 64):
+    def __init__(self, path: str, capacity: int = 450_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.capacity, self.longest = capacity, longest
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.words = _Words(self._word, longest)
         self.pieces: dict[str, bytes] = {}
-        self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(added) or "(?!)")
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
@@ -78,43 +104,56 @@ class WordEncoder:
             return self._library(word.decode())
         if word.isalpha():  # of bytes: ASCII letters alone
             return self._piece(word.lower().decode())
-        if word[:-1].isalpha() and word[-1] in b".,;:!?":
-            return self._piece(word[:-1].lower().decode()) + self._piece(chr(word[-1]))
         text = word.decode()
-        if not _SIMPLE.fullmatch(text) or any(s in text for s in self.specials):
+        plain = _PLAIN.fullmatch(text)
+        if plain:
+            letters, sign = plain.groups()
+            return self._piece(letters.lower()) + self._piece(sign) if sign else self._piece(letters.lower())
+        if not _SIMPLE.fullmatch(text) or self.special.search(text):
             return self._library(text)
         return b"".join([self._piece(p) for p in _PIECE.findall(text.lower())])
 
-    def encode(self, texts: list[str | None], end: bytes = b"") -> list[bytes]:
+    def flat(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, each text's followed by ``end``, and where each text begins and ends.
+
+        Arrow cuts the words and tells equal ones, so Python sees a word once per call.
+        """
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), " ")[0].as_buffer()
+        known = list(map(self.words.__getitem__, joined.to_pybytes().split(b" "))) if len(coded.dictionary) else []
+        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        if end is not None:
+            which = np.insert(which, bounds[1:], len(known))
+            known.append(int(end).to_bytes(4, "little"))
+            bounds = bounds + np.arange(len(bounds))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        begins, every = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(known), "<u4")
+        lengths = sizes[which]
+        done = np.concatenate(([0], np.cumsum(lengths)))
+        at = np.repeat(begins[which] - done[:-1], lengths) + np.arange(done[-1])
+        self.words.aged(self.capacity)
+        return every[at], done[bounds]
+
+    def encode(self, texts: pa.Array | list[str | None], end: int | None = None) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers, then ``end``; null is empty."""
-        split = [(t or "").encode().split() for t in texts]
-        return self._each(split, lambda words, known: b"".join([known[w] for w in words]) + end)
+        ids, bounds = self.flat(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), end)
+        raw, places = ids.tobytes(), (4 * bounds).tolist()
+        return [raw[b:e] for b, e in zip(places, places[1:])]
 
     def counts(self, raws: list[bytes]) -> list[np.ndarray]:
         """Per text the number of ids of each of its words."""
-        split = [r.split() for r in raws]
-        return self._each(split, lambda words, known: np.fromiter([len(known[w]) for w in words], np.int64, len(words)) // 4)
+        ids, out = self.words.__getitem__, []
+        for raw in raws:
+            found = list(map(ids, raw.split()))
+            out.append(np.fromiter(map(len, found), np.int64, len(found)) // 4)
+        self.words.aged(self.capacity)
+        return out
 
     def count(self, raw: bytes) -> int:
         """The number of ids of a short text."""
-        return sum(len(self.young.get(w) or self._word(w)) for w in raw.split()) // 4
-
-    def _each(self, split: list[list[bytes]], make) -> list:
-        """``make`` of each text's words, given the ids of every word."""
-        young, old, once = self.young, self.old, []
-        for word in set().union(*split).difference(young):
-            known = old.get(word)
-            if known is None:
-                known = self._word(word)
-                if len(word) > self.longest:
-                    once.append(word)
-            young[word] = known
-        out = [make(words, young) for words in split]
-        for word in once:
-            del young[word]
-        if len(young) > self.capacity:
-            self.old, self.young = young, {}
-        return out
+        return sum(len(self.words.get(w) or self._word(w)) for w in raw.split()) // 4
 
 
 _encoders: dict[str, WordEncoder] = {}

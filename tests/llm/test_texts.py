@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import llm_data as data
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,9 +186,11 @@ def ids_of():
 
 def test_encoder_equals_the_library(ids_of):
     texts = [r[1] for r in ROWS] + ["I'm can't 'SHE'LL <|startoftext|>a", "Ünïcode ÀÉ ß² 12ab34 \u0301x e\u0301 \u2003 中文 👍🏽", "a\u00a0b\x1cc ,'s.", "İstanbul ΑΣ"]
-    for end in (b"", b"\x02\0\0\0"):
+    for end in (None, 2):
         found = encoder(default_tokenizer()).encode(texts, end)
         assert [np.frombuffer(x, "<u4").tolist() for x in found] == [ids_of(t) + [2] * bool(end) for t in texts]
+        ids, bounds = encoder(default_tokenizer()).flat(pa.array(texts)[3:9], end)
+        assert [ids[b:e].tolist() for b, e in zip(bounds, bounds[1:])] == [ids_of(t) + [2] * bool(end) for t in texts[3:9]]
 
 
 def test_encoder_forgets_and_still_agrees(ids_of):
@@ -222,6 +225,55 @@ def test_token_store_of_nothing(spark, docs):
     path = Scratch(spark).path("store")
     token_store.write(docs.limit(0), path)
     assert token_store.with_start(token_store.read_all(spark, path), spark, path).count() == 0
+    assert token_store.lookup(spark, path, docs.select("doc_id")).count() == 0
+
+
+def test_lookup_reads_the_shards_of_its_keys_and_exchanges_no_payload(spark, docs, monkeypatch):
+    monkeypatch.setattr(token_store, "SHARD_TOKENS", 300)
+    monkeypatch.setattr(token_store, "FILE_SHARDS", 1)
+    path = Scratch(spark).path("store")
+    token_store.write(docs, path)
+    stored = spark.read.parquet(f"{path}/shards")
+    assert stored.select("range").distinct().count() > 2
+    found = token_store.lookup(spark, path, spark.createDataFrame([(20,)], "doc_id bigint"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    payload = next(line for line in plan.splitlines() if "FileScan" in line and "payload" in line)
+    assert "range" in payload[payload.index("PartitionFilters") :] and "GreaterThanOrEqual(high,20)" in payload
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    texts = {r[1] for r in ROWS if r[0] == 20}
+    assert found.count() == len([r for r in ROWS if r[0] == 20]) and texts
+
+
+def test_many_keys_are_looked_up_too(spark, docs, ids_of, monkeypatch):
+    monkeypatch.setattr(token_store, "SHARD_TOKENS", 300)
+    monkeypatch.setattr(token_store, "NAMED", 2)
+    path = Scratch(spark).path("store")
+    token_store.write(docs, path)
+    found = token_store.lookup(spark, path, docs.select("doc_id")).collect()
+    want = [key([r[0], ids_of(r[1]) + [2]]) for r in ROWS if r[0] is not None]
+    assert sorted(key([r.doc_id, np.frombuffer(r.ids, "<u4").tolist()]) for r in found) == sorted(want)
+
+
+def test_rows_of_one_id_are_split_over_ranges(spark, ids_of):
+    rows = [(7, f"word {i}") for i in range(400)] + [(None, "x")] * 50 + [(8, "y")]
+    path = Scratch(spark).path("store")
+    token_store.write(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), path)
+    hot = spark.read.parquet(f"{path}/shards").filter("low = 7").select("range").distinct().count()
+    assert hot > 1
+    found = token_store.lookup(spark, path, spark.createDataFrame([(7,)], "doc_id bigint")).collect()
+    assert Counter(r.ids for r in found) == Counter(np.array(ids_of(t) + [2], "<u4").tobytes() for i, t in rows if i == 7)
+
+
+def test_token_store_query_has_the_checksums_of_its_ids(spark, sf_dir, ids_of):
+    from membertide.llm import queries
+
+    rows, start = {r.doc_id: r for r in queries.op9_token_store(spark, sf_dir).collect()}, 0
+    for doc in sorted(spark.read.parquet(f"{sf_dir}/documents.parquet").collect(), key=lambda d: d.doc_id):
+        ids = np.array(ids_of(doc.text) + [2], "<u4")
+        found = rows.pop(doc.doc_id)
+        assert (found.start, found.n_tokens, found.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert not rows
 
 
 def test_perfect_hash_is_minimal_and_perfect():
