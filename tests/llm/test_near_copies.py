@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import llm_data as data
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from membertide.llm import line_dedup, ngram_join, substring_dedup
 from membertide.llm.common import Scratch
@@ -22,8 +24,8 @@ def docs(spark, rows):
     return spark.createDataFrame(rows, data.SCHEMA).repartition(3)
 
 
-def brute_components(rows, percent=90):
-    sets = [data.shingles(r[1]) for r in rows]
+def brute_components(rows, percent=90, width=3):
+    sets = [data.shingles(r[1], width) for r in rows]
     links = []
     for i, a in enumerate(sets):
         for j in range(i):
@@ -45,6 +47,62 @@ def test_ngram_components_equal_brute_force(spark, docs, rows):
     assert sorted((str(r.doc_id), r.n, str(r.component_id)) for r in found) == brute_components(rows)
 
 
+def scattered(seed, count=420):
+    """Texts of 1 to 250 words with edits, so that similarities lie on both sides of the limits and sizes in many bands."""
+    rng, rows = random.Random(seed), []
+    while len(rows) < count:
+        base = data.prose(rng, rng.choice([1, 2, 4, 9, 12, 30, 31, 60, 120, 250]), rng.choice([3, 2000]))
+        for _ in range(rng.randrange(1, 7)):
+            copy = list(base)
+            for _ in range(rng.randrange(0, max(1, len(base) // 15) + 1)):
+                copy[rng.randrange(len(copy))] = "e%d" % rng.randrange(10**6)
+            rows.append((len(rows) * 7 % 100_003, " ".join(copy[rng.randrange(0, 2) :] + base[: rng.randrange(0, 3)]), None, None, None, None, None))
+    return rows
+
+
+@pytest.mark.parametrize(("width", "percent", "tile"), [(3, 90, 2048), (5, 80, 2048), (5, 80, 3)])
+def test_components_across_bands_equal_brute_force(spark, monkeypatch, width, percent, tile):
+    monkeypatch.setattr(ngram_join, "TILE_SETS", tile)
+    rows = scattered(width * percent)
+    docs = spark.createDataFrame(rows, data.SCHEMA).repartition(4)
+    found = ngram_join.join_components(docs, Scratch(spark), width=width, percent=percent).collect()
+    want = brute_components(rows, percent, width)
+    assert sorted((str(r.doc_id), r.n, str(r.component_id)) for r in found) == want
+    assert 50 < sum(str(i) != c for i, n, c in want)
+
+
+def candidates(spark, texts, percent=90):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    bands = ngram_join.Bands(percent)
+    signed = ngram_join.signatures(docs, 3, bands, "doc_id", "text")
+    return ngram_join.key_edges(docs, signed.agg({"n_keys": "sum"}).first()[0], 3, bands, "text").count()
+
+
+@pytest.mark.parametrize("percent", [90, 80])
+def test_candidates_of_short_texts_do_not_grow_with_their_square(spark, percent):
+    few, many = (candidates(spark, [f"word{i}" for i in range(n)], percent) for n in (5000, 20_000))
+    assert many <= 5 * few + 50
+    rng = random.Random(2)
+    few, many = (candidates(spark, [" ".join(data.prose(rng, 4, 10**6)) for _ in range(n)], percent) for n in (1000, 4000))
+    assert many <= 5 * few + 50
+
+
+def test_candidates_of_long_texts_do_not_grow_with_their_square(spark):
+    rng = random.Random(5)
+    few, many = (candidates(spark, [" ".join(data.prose(rng, 1000, 10**6)) for _ in range(n)]) for n in (40, 160))
+    assert many <= 5 * few + 50
+
+
+def test_a_million_shingles_under_a_small_tile(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TILE_BYTES", 1 << 20)
+    rng = random.Random(6)
+    base = [str(rng.randrange(10**9)) for _ in range(10**6)]
+    texts = [" ".join(base), " ".join([*base[:940_000], *map(str, range(50_000))]), " ".join([*base[:970_000], *map(str, range(40_000))])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    found = ngram_join.join_components(docs, Scratch(spark)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(0, 0), (1, 0), (2, 0)]
+
+
 def test_small_tiles_lose_nothing(spark, docs, rows, monkeypatch):
     monkeypatch.setattr(ngram_join, "TILE_SETS", 3)
     found = ngram_join.join_components(docs, Scratch(spark)).collect()
@@ -78,7 +136,8 @@ def test_bitmaps_never_rule_out_a_link():
     band = int(bands.of(np.array([400]))[0])
     maps = [ngram_join.bitmap(s, bands.bits(band)) for s in sets]
     n = len(sets)
-    pairs = set(ngram_join.tile_pairs(np.array([len(s) for s in sets]), np.arange(n), np.arange(n), np.ones(n, bool), maps, np.zeros(n, int), bands.bits(band), bands))
+    found = ngram_join.tile_pairs(np.array([len(s) for s in sets]), np.arange(n), np.arange(n), np.ones(n, bool), maps, np.zeros(n, int), bands.bits(band), bands)
+    pairs = set(zip(*(f.tolist() for f in found)))
     for i in range(n):
         for j in range(i + 1, n):
             if bands.linked(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j])):
@@ -138,15 +197,17 @@ def test_every_run_holds_a_chosen_place():
 
 
 def line_shingles(line):
-    starts = [i for i in range(len(line)) if not line[i].isspace() and (i == 0 or line[i - 1].isspace())]
-    return {line[i : i + line_dedup.WIDTH] for i in starts}
+    """The shingles at every character, of lines with one that is no space."""
+    if not re.search(r"[^\x20\x09-\x0D]", line):
+        return set()
+    return {line[i : i + line_dedup.WIDTH] for i in range(max(1, len(line) - line_dedup.WIDTH + 1))}
 
 
 def test_lines_equal_brute_force(spark, docs, rows):
     places = []
     for number, (doc, text, *_) in enumerate(rows):
         for i, line in enumerate((text or "").split("\n") if text is not None else []):
-            if len(line_shingles(line)) >= line_dedup.MIN_SHINGLES:
+            if line_shingles(line):
                 places.append((number, i, line))
     sets = [line_shingles(p[2]) for p in places]
     links = [(i, j) for i in range(len(places)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
@@ -252,3 +313,47 @@ def test_empty_segments_are_no_keys_at_80_percent():
     band = int(bands.of(np.array([300]))[0])
     keys = [set(ngram_join.segment_keys(s, band, bands).tolist()) for s in sets]
     assert not any(keys[i] & keys[j] for i in range(30) for j in range(i))
+
+
+def similar_lines(count, seed=17):
+    """Pairs of lines of 28 words with a similarity from 0.8 to 0.85."""
+    rng, pairs = random.Random(seed), []
+    while len(pairs) < count:
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(28)]
+        other = list(words)
+        other[rng.randrange(28)] = "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9)))
+        left, right = line_shingles(" ".join(words)), line_shingles(" ".join(other))
+        if 0.8 <= len(left & right) / len(left | right) <= 0.85:
+            pairs.append((" ".join(words), " ".join(other)))
+    return pairs
+
+
+def test_recall_of_links_near_the_limit(spark):
+    pairs = similar_lines(400)
+    gone = gone_lines(spark, [line for pair in pairs for line in pair])
+    assert gone <= set(range(1, 800, 2)) and len(gone) >= 0.99 * 400
+
+
+def test_bitmaps_never_rule_out_a_link(spark):
+    pairs = similar_lines(60) + [("x" * 40, "x" * 33), ("short", "short"), ("ab" * 200, "ab" * 190 + "cd")]
+    lines = spark.createDataFrame([(i, p[i % 2]) for i, p in enumerate(q for q in pairs for _ in (0, 1))], "a bigint, line string")
+    signed = line_dedup.signatures(lines, 5)
+    shape = {r.a: r for r in signed.collect()}
+    assert all(shape[i].n == max(1, len(p[i % 2]) - line_dedup.WIDTH + 1) for i, p in enumerate(q for q in pairs for _ in (0, 1)))
+    left, right = (signed.select(F.expr(f"a div 2 AS pair{s}"), *line_dedup._shape(f"_{s}")).filter(f"a % 2 = {k}") for k, s in enumerate("xy"))
+    both = left.join(right, F.col("pairx") == F.col("pairy"))
+    linked = {i for i, (x, y) in enumerate(pairs) if len(line_shingles(x) & line_shingles(y)) >= 0.8 * len(line_shingles(x) | line_shingles(y))}
+    assert len(linked) >= 60
+    assert linked <= {r.pairx for r in both.filter(line_dedup.possible("_x", "_y", 0.8)).collect()}
+
+
+def test_written_pairs_of_template_lines_grow_with_the_lines(spark):
+    counts = []
+    for groups in (250, 1000):
+        docs = spark.createDataFrame(list(enumerate(template_lines(groups))), "doc_id bigint, text string").repartition(4)
+        scratch = Scratch(spark)
+        signed = line_dedup.signatures(line_dedup.judged_lines(docs, "doc_id", "text"), line_dedup.BANDS)
+        members = line_dedup.key_members(scratch.table(signed, "signed"), scratch)
+        roots = members.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
+        counts.append(line_dedup.residual_pairs(members, roots, scratch, 0.8).count() + line_dedup.first_pairs(members, 0.8).count())
+    assert counts[1] <= 5 * counts[0] and counts[0] >= 250
