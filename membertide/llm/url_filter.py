@@ -6,12 +6,14 @@ with the next shorter order by the number of different continuations (Witten-Bel
 the sum of its characters' log-likelihood differences divided by their number. The threshold has the
 least balanced error on a tenth of the labelled URLs that the counts leave out.
 
+The models read the whole URL as it stands, scheme, query and fragment included; host and path serve the rules.
 Counts cover all other labelled URLs. Differences are computed once per distinct run of five
-characters, as whole millionths, so sums do not depend on their order.
+characters, as whole millionths, so sums do not depend on their order; they are broadcast up to a measured size.
 
-Null URL, or none with ``://``: host and path are empty, no rule fits, and with no characters to
-judge the verdict is allow. Repeated URLs get one score. If no URL is labelled, the threshold is 0
-and all scores are 0: allow. Other columns are not read.
+A URL without ``://`` has an empty host and path, so no rule fits, and is judged by its characters like any
+other. Null or empty URL: with no characters to judge the verdict is allow. A very long URL is rows of five
+characters like any other. Repeated URLs get one score. If no URL is labelled, the threshold is 0
+and all scores are 0: allow. Empty table: no rows. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from membertide.llm.common import Scratch
+from membertide.llm.common import Scratch, small
 
 ORDER = 4
 UNIFORM = 1 / 256
@@ -117,9 +119,9 @@ def threshold(scored: DataFrame) -> int:
 def judge(pages: DataFrame, scratch: Scratch, rules: tuple[Rule, ...] = RULES, url: str = "url", page_id: str = "page_id") -> DataFrame:
     """(page_id, host, path, rule, verdict, score) of every page."""
     host, path = host_and_path(F.col(url))
-    pages = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
+    pages = pages.select(F.col(page_id).alias("page_id"), F.coalesce(url, F.lit("")).alias("value"), host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    pages = pages.withColumns({"rule": name, "label": verdict, "value": F.concat("host", "path")})
+    pages = pages.withColumns({"rule": name, "label": verdict})
     distinct = pages.filter("value <> ''").select("value", "label").distinct()
     distinct = distinct.withColumns({"key": F.xxhash64("value"), "held": F.pmod(F.xxhash64(F.lit(7), "value"), F.lit(HELD_OUT)) == 0})
     distinct = scratch.table(distinct, "urls")
@@ -128,7 +130,7 @@ def judge(pages: DataFrame, scratch: Scratch, rules: tuple[Rule, ...] = RULES, u
     counts = exploded.groupBy("gram").agg(
         *[F.sum((F.coalesce(counted, F.lit("")) == v).cast("bigint")).alias(c) for c, v in (("good", ALLOW), ("bad", BLOCK))]
     )
-    weighted = weights(scratch.table(counts, "counts"), scratch)
+    weighted = small(scratch.table(weights(scratch.table(counts, "counts"), scratch), "weights"), 40)
     scores = exploded.select("key", "gram").join(weighted, "gram").groupBy("key").agg((F.sum("weight") / F.count("*") / 1e6).alias("score"))
     scores = scratch.table(distinct.join(scores, "key").select("value", "label", "held", "score"), "scores")
     least = threshold(scores.filter("held AND label IS NOT NULL"))

@@ -374,18 +374,19 @@ def brute_urls(urls):
 def test_urls_equal_brute_force(spark):
     rng = random.Random(6)
     hosts = ["a.net", "x.example.net", "example.net", "spam-farm.example.com", "b.example.com", "notexample.com", "c.org", "net", "anet"]
-    urls = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.net/en/?q#f", "x://a.b://c.org/fr/", "http://a.net", "http://a.net?x/", "ü://É.net/ü"]
-    urls += [f"https://{rng.choice(hosts)}/{rng.choice(['en', 'fr', 'de', 'EN'])}/{rng.randrange(40)}" for _ in range(300)]
+    urls = [None, "", "no scheme", "spam-farm.example.com/de/7", "http://", "HTTP://EXAMPLE.net/en/?q#f", "x://a.b://c.org/fr/", "http://a.net", "http://a.net?x/", "ü://É.net/ü"]
+    tails = ["", "", "?buy=now", "?p=1#top", "#cheap"]
+    urls += [f"https://{rng.choice(hosts)}/{rng.choice(['en', 'fr', 'de', 'EN'])}/{rng.randrange(40)}{rng.choice(tails)}" for _ in range(300)]
+    urls += ["https://c.org/x/1" + t for t in tails]
     pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id int, url string, score string").repartition(3)
     scratch = Scratch(spark)
     found = {r.page_id: r for r in url_filter.judge(pages, scratch).collect()}
     brute = brute_urls(urls)
     for i, (_, host, path, name, verdict) in enumerate(brute):
         assert (found[i].host, found[i].path, found[i].rule) == (host, path, name)
-        assert found[i].verdict == (verdict or found[i].verdict)
     # the models, from scratch
-    held = {r.v for r in spark.createDataFrame([(h + p,) for _, h, p, *_ in brute if h + p], "v string").distinct().filter(f"pmod(xxhash64(7, v), {url_filter.HELD_OUT}) = 0").collect()}
-    distinct = {h + p: v for _, h, p, _, v in brute if h + p}
+    held = {r.v for r in spark.createDataFrame([(u,) for u in urls if u], "v string").distinct().filter(f"pmod(xxhash64(7, v), {url_filter.HELD_OUT}) = 0").collect()}
+    distinct = {u: v for u, *_, v in brute if u}
     order, counts = url_filter.ORDER, {"allow": Counter(), "block": Counter()}
     grams = lambda s: [("\x02" * order + s + "\x03")[i : i + order + 1] for i in range(len(s) + 1)]
     for s, v in distinct.items():
@@ -407,12 +408,21 @@ def test_urls_equal_brute_force(spark):
     for s in distinct:
         for g in grams(s):
             weight.setdefault(g, round((math.log(chance("allow", g)) - math.log(chance("block", g))) * 1e6))
-    for i, (_, host, path, *_) in enumerate(brute):
-        if host + path:
-            want = sum(weight[g] for g in grams(host + path)) / (len(host + path) + 1) / 1e6
-            assert abs(found[i].score - want) < 2e-6
-    judged = [(found[i].score, v) for i, (_, h, p, _, v) in enumerate(brute) if v and h + p in held]
-    assert judged
+    score = {u: sum(weight[g] for g in grams(u)) / (len(u) + 1) / 1e6 for u in distinct}
+    for i, u in enumerate(urls):
+        assert found[i].score is None if not u else abs(found[i].score - score[u]) < 2e-6
+    # the threshold with the least balanced error on the held-out part, and the verdicts
+    judged = [(math.floor(found[urls.index(u)].score * 1000), distinct[u]) for u in held if distinct[u]]
+    good, bad = (sum(v == w for _, v in judged) for w in ("allow", "block"))
+    assert good and bad
+    error = lambda t: sum(v == "allow" and s < t for s, v in judged) / good + sum(v == "block" and s >= t for s, v in judged) / bad
+    edges = sorted({s for s, _ in judged})
+    least = min(edges, key=lambda t: (error(t), t))
+    for i, (u, _, _, _, verdict) in enumerate(brute):
+        assert found[i].verdict == (verdict or ("allow" if not u or found[i].score * 1000 >= least else "block"))
+    method = {found[i].verdict for i, (u, _, _, _, verdict) in enumerate(brute) if u and not verdict}
+    assert method == {"allow", "block"}
+    assert len({found[i].score for i, u in enumerate(urls) if u and u.startswith("https://c.org/x/1")}) == 4
     assert url_filter.judge(pages.limit(0), scratch).count() == 0
 
 
