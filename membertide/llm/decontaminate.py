@@ -5,25 +5,30 @@ gives the longest suffix so far that occurs in an item. Where that length reache
 window's words are hit, and the state of exactly that length names the items. Words no item has
 reset the automaton, so only runs long enough for a window are streamed.
 
-Items are cut into blocks of ``BLOCK_BYTES`` of text, one automaton and one pass over the documents
-each, with no shuffle; what is shipped to the tasks is one block's texts. A longer item is a block
-of its own.
-
-Null texts have no words. A null item id still hits, but is not listed. Repeated item ids count
-once. An empty table of items hits nothing. Null document ids and repeated rows are judged alike.
+Distinct items are dealt to blocks of ``BLOCK_BYTES`` of text by running size, one automaton each; a longer item is
+a block of its own. One block is on the driver and in the tasks at a time, and a worker keeps its automaton from task to
+task. A benchmark of one block takes one pass with no shuffle. Of several blocks each has a job of its own that
+writes what it finds, once per distinct text with a hit; the hits are then joined to the documents by
+the text's hash, broadcast up to a measured size.
+
+Null texts have no words. A null item id still hits, but is not listed. Repeated items count
+once. An empty table of items hits nothing, an empty table of documents gives no rows. Null document ids and repeated
+rows are judged alike. A text of any length streams through whole, one at a time. Other columns pass through; names in
+clash with what is added are refused, and ``prefix`` gives others.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from membertide.llm.common import chunks, extended, with_length
+from membertide.llm.common import BROADCAST_BYTES, Scratch, chunks, extended, text_key, with_length
 
 WINDOW = 13
 BLOCK_BYTES = 1 << 20
@@ -170,15 +175,38 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*kept, raw[done:]]).decode()
 
 
+#: Bins per block that distinct items are dealt to by hash before bins are put together by size.
+BINS = 8
+
+
 def item_blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[Item]]:
-    """The items in blocks of bounded size, one at a time."""
-    sized = items.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("text"))
-    weight = F.octet_length(F.coalesce("text", F.lit("")))
-    total = sized.agg(F.sum(weight)).first()[0] or 0
-    count = -(-total // BLOCK_BYTES)
-    for block in range(count):
-        part = sized if count == 1 else sized.filter(F.pmod(F.xxhash64("id", "text"), F.lit(count)) == block)
-        yield [tuple(r) for r in part.collect()]
+    """The distinct items in blocks of bounded size, one at a time."""
+    sized = items.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("text")).distinct()
+    weight = F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 1)
+    total = sized.agg(weight).first()[0] or 0
+    if total <= BLOCK_BYTES:
+        yield [tuple(r) for r in sized.collect()]
+        return
+    bin_ = F.pmod(F.xxhash64("id", "text"), F.lit(BINS * -(-total // BLOCK_BYTES)))
+    block, size = [], 0
+    for number, own in chain(sorted(tuple(r) for r in sized.groupBy(bin_.alias("bin")).agg(weight).collect()), [(None, BLOCK_BYTES + 1)]):
+        if block and size + own > BLOCK_BYTES:
+            yield [tuple(r) for r in sized.filter(bin_.isin(block)).collect()]
+            block, size = [], 0
+        block.append(number)
+        size += own
+
+
+_kept: dict[tuple, ItemAutomaton] = {}
+
+
+def _automaton(block: list[Item], window: int) -> ItemAutomaton:
+    """The block's automaton, the last one of which the worker process keeps."""
+    key = (window, hash(tuple(block)), len(block))
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = ItemAutomaton(block, window)
+    return _kept[key]
 
 
 Batches = Iterator[pa.RecordBatch]
@@ -186,47 +214,82 @@ _FOUND = {"n_words": "bigint", "spans": "array<struct<begin:bigint,end:bigint>>"
 _SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
 
-def _finding(block: list[Item], first: bool, window: int, columns: list[str], text: str, prefix: str) -> Callable[[Batches], Batches]:
-    """A pass with one block's automaton; all but the first add to what is there."""
-    at, width, names = columns.index(text), len(columns), [*columns, *(prefix + c for c in _FOUND)]
+def _finding(block: list[Item], window: int, columns: list[str], text: str, prefix: str) -> Callable[[Batches], Batches]:
+    """A pass with a block's automaton over rows of ``columns``."""
+    at, names = columns.index(text), [*columns, *(prefix + c for c in _FOUND)]
 
     def run(batches: Batches) -> Batches:
-        automaton = ItemAutomaton(block, window)
+        automaton = _automaton(block, window)
         for chunk in chunks(batches, at):
             counts, spans, found = [], [], []
-            for i, value in enumerate(chunk.column(at).to_pylist()):
+            for value in chunk.column(at).to_pylist():
                 words = normal_words(value)
                 own, ids = automaton.match(words)
                 ids.discard(None)
-                if not first:
-                    own = merged(own + [(s["begin"], s["end"]) for s in chunk.column(width + 1)[i].as_py()])
-                    ids.update(chunk.column(width + 2)[i].as_py())
                 counts.append(len(words))
                 spans.append([{"begin": b, "end": e} for b, e in own])
                 found.append(sorted(ids))
             made = [pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(found, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*chunk.columns[:width], *made], names=names)
+            yield pa.RecordBatch.from_arrays([*chunk.columns, *made], names=names)
+
+    return run
+
+
+def _hits_only(find: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
+        for batch in find(batches):
+            hit = pa.array([len(s) > 0 for s in batch.column("spans").to_pylist()], pa.bool_())
+            yield batch.select(["version", "spans", "item_ids"]).filter(hit)
+
+    return run
+
+
+def _merging(columns: list[str], text: str, prefix: str) -> Callable[[Batches], Batches]:
+    """A pass over rows that have the lists of all blocks' spans and items behind their ``columns``."""
+    at, width, names = columns.index(text), len(columns), [*columns, *(prefix + c for c in _FOUND)]
+
+    def run(batches: Batches) -> Batches:
+        for chunk in chunks(batches, at):
+            counts = [len(normal_words(value)) for value in chunk.column(at).to_pylist()]
+            spans = [merged([(s["begin"], s["end"]) for s in own or ()]) for own in chunk.column(width).to_pylist()]
+            ids = [sorted(set(own or ())) for own in chunk.column(width + 1).to_pylist()]
+            made = [pa.array(counts, pa.int64()), pa.array([[{"begin": b, "end": e} for b, e in own] for own in spans], _SPANS)]
+            yield pa.RecordBatch.from_arrays([*chunk.columns[:width], *made, pa.array(ids, pa.list_(pa.string()))], names=names)
 
     return run
 
 
-def _passes(docs: DataFrame, items: DataFrame, window: int, item_id: str, item_text: str, text: str, prefix: str):
-    """All passes but the last, done; the last one's function; and the schema they give."""
+def _passes(docs: DataFrame, items: DataFrame, window: int, item_id: str, item_text: str, text: str, prefix: str, scratch: Scratch | None):
+    """Rows, the function of their one Python pass, and the schema it gives."""
     if taken := [prefix + c for c in _FOUND if prefix + c in docs.columns]:
         raise ValueError(f"choose another prefix: {taken} are columns of the input")
     schema = extended(docs.schema, **{prefix + c: t for c, t in _FOUND.items()})
-    out, last = docs, _finding([], True, window, docs.columns, text, prefix)
-    for number, block in enumerate(item_blocks(items, item_id, item_text)):
-        out = out.mapInArrow(last, schema) if number else out
-        last = _finding(block, not number, window, docs.columns, text, prefix)
-    return out, last, schema
+    blocks = item_blocks(items, item_id, item_text)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return docs, _finding(first, window, docs.columns, text, prefix), schema
+    scratch, found = scratch or Scratch(docs.sparkSession), None
+    version = text_key(F.col(f"`{text}`"))
+    texts = docs.select(version.alias("version"), F.col(f"`{text}`").alias("text"))
+    for block in chain([first, second], blocks):
+        find = _hits_only(_finding(block, window, ["version", "text"], "text", ""))
+        hits = texts.mapInArrow(find, f"version bigint, spans {_FOUND['spans']}, item_ids {_FOUND['item_ids']}")
+        part = scratch.table(hits.dropDuplicates(["version"]), "hits")
+        found = part if found is None else found.union(part)
+    lists = [F.flatten(F.collect_list(c)).alias(prefix + c) for c in ("spans", "item_ids")]
+    every = scratch.table(found.groupBy(F.col("version").alias("__version")).agg(*lists), "every")
+    size = every.agg(F.sum(F.size(prefix + "spans") * 16 + F.length(F.array_join(prefix + "item_ids", ",")) + 64)).first()[0] or 0
+    every = F.broadcast(every) if size <= BROADCAST_BYTES else every
+    rows = docs.join(every, version == F.col("__version"), "left").drop("__version")
+    return rows, _merging(docs.columns, text, prefix), schema
 
 
 def find_hits(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, item_id: str = "item_id", item_text: str = "text", text: str = "text", prefix: str = ""
-) -> DataFrame:
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, item_id: str = "item_id", item_text: str = "text", text: str = "text", prefix: str = "",
+    scratch: Scratch | None = None,
+) -> DataFrame:
     """``docs`` with n_words, spans (of hit words, ends excluded) and item_ids, under ``prefix``."""
-    out, last, schema = _passes(docs, items, window, item_id, item_text, text, prefix)
+    out, last, schema = _passes(docs, items, window, item_id, item_text, text, prefix, scratch)
     return out.mapInArrow(last, schema)
 
 
@@ -240,8 +303,9 @@ def contaminated(n_hit: F.Column, n_words: F.Column, coverage: int = 20) -> F.Co
 
 
 def decontaminate(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: int = 20, item_id: str = "item_id", item_text: str = "text", text: str = "text"
-) -> DataFrame:
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: int = 20, item_id: str = "item_id", item_text: str = "text", text: str = "text",
+    scratch: Scratch | None = None,
+) -> DataFrame:
     """Without documents whose coverage reaches the limit (``contaminated``), and without the spans in the others.
 
     Every span has at least a window's words, or is a whole short item. A column ``n_chars`` of
@@ -250,7 +314,7 @@ def decontaminate(
     prefix = "__hits_"
     while any(c.startswith(prefix) for c in docs.columns):
         prefix += "_"
-    out, last, _ = _passes(docs, items, window, item_id, item_text, text, prefix)
+    out, last, _ = _passes(docs, items, window, item_id, item_text, text, prefix, scratch)
     columns, at = docs.columns, docs.columns.index(text)
 
     def run(batches: Batches) -> Batches:

@@ -3,13 +3,14 @@
 A document's full windows of the longest tier stand alone; what is left of it goes to the shortest
 tier that holds it. From the longest tier down, each window takes its tier's pieces, and its gap is
 filled from the shorter tiers, largest fitting piece first, the last one cut to size. Windows
-of one tier are then dealt into step groups of equal tokens by their attention cost. All of it
+of one tier are then dealt by their attention cost into step groups whose tokens differ by one window at most. All of it
 happens in the task that reads the documents, pool by pool, so nothing is shuffled and memory is
 bounded by a pool (``POOL_TOKENS``) and the longest document. What one pool leaves over opens the
 next; a task's last remainder is cut into powers of two, so no sequence carries padding.
 
-Null or empty text: the end id alone. Null ids and repeated rows: packed row by row like any other.
-Empty table: no pieces. Columns other than the id and the text are not read.
+Ids are taken as BIGINT. Null or empty text: the end id alone. A very long text is encoded whole and fills windows of its
+own; it is in memory alone with its pool. Null ids and repeated rows: packed row by row like any other.
+Empty table: no pieces. Columns other than the id and the text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -119,7 +120,7 @@ def sum_at_least(pools: dict[int, list[Piece]], tiers: tuple[int, ...], wanted:
 
 
 def step_groups(windows: list[tuple[int, list[Piece]]], step_tokens: int) -> list[int]:
-    """A group per window: equal tokens in each group of a tier, attention cost dealt back and forth."""
+    """A group per window: groups of a tier differ by one window at most; attention cost is dealt back and forth."""
     groups, first = [0] * len(windows), 0
     for tier in sorted({t for t, _ in windows}, reverse=True):
         cost = sorted((-sum(p[0] ** 2 for p in w), i) for i, (t, w) in enumerate(windows) if t == tier)

@@ -9,8 +9,8 @@ The shard follows the law ``key``: of all shards the one with the highest hash o
 number, so the id and the shard count decide, and one more shard takes rows only into itself.
 
 Null text: size 8, checksum of the empty text. A null id hashes like a value of its own. Rows that
-repeat stay as they are, spread over the buckets. Empty table: no rows. Other columns may be
-carried; the operator's own names must not be among them.
+repeat stay as they are, spread over the buckets. A very long text is one row of one bucket, which is then larger.
+Empty table: no rows. Other columns may be carried; the operator's own names are refused among them.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ BUCKET_BYTES = 8 << 20
 #: Bytes an entry takes in memory besides its text.
 ROW_BYTES = 200
 LAW = "key"
+#: Columns of the operator's own.
+NAMES = ("shard", "bucket", "size", "place", "slot")
 
 
 def shard_of(key: Column, shards: int, seed: int = 0) -> Column:
@@ -44,11 +46,17 @@ def scatter(docs: DataFrame, shards: int, seed: int, doc_id: str, text: str) ->
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 24, seed: int = 0, doc_id: str = "doc_id", text: str = "text") -> None:
-    """Shuffled rows of all shards at ``path``/rows by shard and bucket, bucket sizes at ``path``/buckets."""
+    """Shuffled rows of all shards at ``path``/rows by shard and bucket, bucket sizes at ``path``/buckets.
+
+    There are as many tasks as buckets, so a task has few of them on its heap whatever the size.
+    """
+    if taken := [c for c in docs.columns if c.lower() in NAMES]:
+        raise ValueError(f"rename {taken}, which are the operator's own names")
     rows, buckets = scatter(docs, shards, seed, doc_id, text)
     columns = [c for c in rows.columns if c not in ("shard", "bucket")]
     boxed = rows.select("shard", "bucket", F.struct(*[f"`{c}`" for c in columns]).alias("row"))
-    shuffled = boxed.groupBy("shard", "bucket").agg(F.shuffle(F.collect_list("row"), F.lit(seed)).alias("rows"))
+    dealt = boxed.repartition(shards * buckets, "shard", "bucket")
+    shuffled = dealt.groupBy("shard", "bucket").agg(F.shuffle(F.collect_list("row"), F.lit(seed)).alias("rows"))
     placed = shuffled.select("shard", "bucket", F.posexplode("rows").alias("place", "row"))
     placed.select("shard", "bucket", "place", "row.*").write.parquet(f"{path}/rows")
     written = docs.sparkSession.read.parquet(f"{path}/rows").groupBy("shard", "bucket").agg(F.count("*").alias("n"))

@@ -11,7 +11,7 @@ input. Copies of a whole text are told by the text's hash first: all their words
 there are enough for a window, and only the first copy takes part. Within a map batch equal windows are settled
 before the exchange, so a hot window costs a row per batch.
 
-Words are ``[^\\x20\\x09-\\x0D]+``. Null or empty text: no words. A null id is smaller and larger than
+Ids are taken as BIGINT. Words are ``[^\\x20\\x09-\\x0D]+``. Null or empty text: no words. A very long text is a chunk of its own. A null id is smaller and larger than
 none: its words stay and remove nothing. Rows that share an id do not remove each other's words.
 Empty table: no rows. Only the id and the text are read; windows are compared by 64-bit hashes.
 """

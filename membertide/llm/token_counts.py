@@ -10,8 +10,10 @@ them, with the edits of each document, to the new text, tree and counts. Edits a
 in characters of the text as it was; they are taken in order, and one that overlaps an earlier one or lies
 outside the text is skipped and counted. Rows without edits (null or empty list) stay as they are.
 
-Null text: no tokens; edits to it are skipped. Repeated rows are edited each by itself. Null ids
-and other columns pass through. No shuffle but the join of ``with_edits``.
+Null or empty text: no tokens; edits to a null text are skipped. Repeated rows are edited each by itself. Empty table:
+no rows. A text of any length is a tree of its own, one in memory at a time with its chunk. Null ids
+and other columns pass through; names in clash with what is added are refused, and ``prefix`` gives others. No
+shuffle but the join of ``with_edits``.
 """
 
 from __future__ import annotations
@@ -141,8 +143,15 @@ def _building(path: str, columns: list[str], text: str, prefix: str) -> Callable
     return run
 
 
+def _refuse(columns: list[str], added, prefix: str) -> None:
+    names = {c.lower() for c in columns}
+    if taken := [prefix + c for c in added if (prefix + c).lower() in names]:
+        raise ValueError(f"choose another prefix: {taken} are columns of the input")
+
+
 def build(docs: DataFrame, tokenizer: str | None = None, text: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with ``size_tree`` and ``token_tree`` (little-endian 64-bit sums) and ``n_tokens``."""
+    _refuse(docs.columns, _TREES, prefix)
     run = _building(tokenizer or default_tokenizer(), docs.columns, text, prefix)
     return docs.mapInArrow(run, extended(docs.schema, **{prefix + c: t for c, t in _TREES.items()}))
 
@@ -207,6 +216,7 @@ def update(state: DataFrame, tokenizer: str | None = None, text: str = "text", e
 
     ``n_tokens_before``, ``n_edits`` taken, ``n_skipped``, and ``n_encoded``: words that were encoded again.
     """
+    _refuse(state.columns, _TOLD, prefix)
     run = _updating(tokenizer or default_tokenizer(), state.columns, text, edits, prefix)
     return state.mapInArrow(run, extended(state.schema, **{prefix + c: "bigint" for c in _TOLD}))
 
@@ -215,6 +225,7 @@ def build_and_update(
     docs: DataFrame, find: Callable[[str], list[dict]], tokenizer: str | None = None, text: str = "text", prefix: str = ""
 ) -> DataFrame:
     """``update`` of ``build`` with the edits that ``find`` makes of each text, in one Python process a task."""
+    _refuse(docs.columns, ("edits", *_TREES, *_TOLD), prefix)
     path, columns, at = tokenizer or default_tokenizer(), docs.columns, docs.columns.index(text)
     edits = prefix + "edits"
     building = _building(path, [*columns, edits], text, prefix)

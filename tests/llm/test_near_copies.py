@@ -337,14 +337,14 @@ def test_recall_of_links_near_the_limit(spark):
 def test_bitmaps_never_rule_out_a_link(spark):
     pairs = similar_lines(60) + [("x" * 40, "x" * 33), ("short", "short"), ("ab" * 200, "ab" * 190 + "cd")]
     lines = spark.createDataFrame([(i, p[i % 2]) for i, p in enumerate(q for q in pairs for _ in (0, 1))], "a bigint, line string")
-    signed = line_dedup.signatures(lines, 5)
-    shape = {r.a: r for r in signed.collect()}
+    shaped = line_dedup.shapes(lines)
+    shape = {r.a: r for r in shaped.collect()}
     assert all(shape[i].n == max(1, len(p[i % 2]) - line_dedup.WIDTH + 1) for i, p in enumerate(q for q in pairs for _ in (0, 1)))
-    left, right = (signed.select(F.expr(f"a div 2 AS pair{s}"), *line_dedup._shape(f"_{s}")).filter(f"a % 2 = {k}") for k, s in enumerate("xy"))
+    left, right = (shaped.select(F.expr(f"a div 2 AS pair{s}"), *line_dedup._shape(f"_{s}")).filter(f"a % 2 = {k}") for k, s in enumerate("xy"))
     both = left.join(right, F.col("pairx") == F.col("pairy"))
     linked = {i for i, (x, y) in enumerate(pairs) if len(line_shingles(x) & line_shingles(y)) >= 0.8 * len(line_shingles(x) | line_shingles(y))}
     assert len(linked) >= 60
-    assert linked <= {r.pairx for r in both.filter(line_dedup.possible("_x", "_y", 0.8)).collect()}
+    assert linked <= {r.pairx for r in both.filter(line_dedup.possible(0.8)).collect()}
 
 
 def test_written_pairs_of_template_lines_grow_with_the_lines(spark):
@@ -355,5 +355,6 @@ def test_written_pairs_of_template_lines_grow_with_the_lines(spark):
         signed = line_dedup.signatures(line_dedup.judged_lines(docs, "doc_id", "text"), line_dedup.BANDS)
         members = line_dedup.key_members(scratch.table(signed, "signed"), scratch)
         roots = members.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
-        counts.append(line_dedup.residual_pairs(members, roots, scratch, 0.8).count() + line_dedup.first_pairs(members, 0.8).count())
+        shaped = line_dedup.shapes(docs.selectExpr("xxhash64(text) AS a", "text AS line"))
+        counts.append(line_dedup.residual_pairs(members, shaped, roots, scratch, 0.8).count() + line_dedup.first_pairs(members, shaped, 0.8).count())
     assert counts[1] <= 5 * counts[0] and counts[0] >= 250
