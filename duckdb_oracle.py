@@ -208,6 +208,22 @@ changed AS (SELECT {cols.replace(', value', ', value + 1 AS value')} FROM {chang
 updates AS (SELECT {cols} FROM changed UNION ALL SELECT {later} FROM changed)"""
 
 
+def _period_parts(rows: str) -> str:
+    dated = " UNION ".join(
+        f"SELECT '{p}-' || strftime({_start('interaction_date', p)}, '%Y-%m-%d') AS part FROM {rows} WHERE interaction_date IS NOT NULL"
+        for p in PERIODS
+    )
+    return f"{dated} UNION SELECT 'alltime-all' AS part FROM {rows}"
+
+
+#: What the last of the day-by-day runs reads: the newest rows, and some old ones that come late.
+LAST_RUN = """
+last_run AS (
+  SELECT * FROM valid
+  WHERE (seq % 10 = 0 AND interaction_date < DATE '1993-07-01') OR coalesce(interaction_date >= DATE '1998-07-01', true)),
+earlier_runs AS (SELECT * FROM valid ANTI JOIN last_run USING (seq))"""
+
+
 def statements() -> dict[str, str]:
     sql = {
         "scan_therapist": _query("SELECT id, organization_id, date_joined FROM therapist"),
@@ -266,6 +282,18 @@ def statements() -> dict[str, str]:
     select, ctes = _upserted(rates, _rate_records("app", "yearly"), "type")
     sql["upsert_rates"] = _query(select, *rate_ctes, ctes)
 
+    sql["last_day_ties"] = _query(
+        "SELECT organization_id, CAST(interaction_date - DATE '1970-01-01' AS BIGINT) AS day, count(DISTINCT seq) > 1 AS tied "
+        "FROM (SELECT *, max(interaction_date) OVER (PARTITION BY organization_id) AS last FROM valid) "
+        "WHERE interaction_date = last GROUP BY organization_id, interaction_date"
+    )
+    quarter = "interaction_date BETWEEN DATE '1997-04-01' AND DATE '1997-06-30'"
+    sql["quarter_summary"] = sql["activity_summary"].replace("SELECT * FROM interaction\n  WHERE", f"SELECT * FROM interaction\n  WHERE {quarter} AND")
+    sql["upsert_parts_totals"], sql["upsert_parts_rates"] = sql["upsert_totals"], sql["upsert_rates"]
+    sql["daily_summary"], sql["daily_rates"] = sql["activity_summary"], sql["serving_rates"]
+    sql["daily_touched"] = _query(_period_parts("last_run"), LAST_RUN)
+    sql["daily_kept"] = _query(f"({_period_parts('earlier_runs')}) EXCEPT ({_period_parts('last_run')})", LAST_RUN)
+
     sql["interaction_input_app_alltime"] = _query(
         "SELECT all_time_period, total_ther AS all_time_thers, therapist_id FROM latest_alltime, alltime", LATEST_ALLTIME
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from membertide.operators.dedup import SEQ
+from membertide.plans import daily
 from membertide.plans.stages import STAGES, run_all
 from membertide.schemas import ADJACENCIES, COMPAT, INTERACTION, THERAPIST
 from membertide.session import build_session
@@ -30,8 +31,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--adjacency", choices=ADJACENCIES, default=COMPAT)
     parser.add_argument("--export-inputs", action="store_true", help="also write the counted rows")
     parser.add_argument("--files", type=int, help="part files per table of counted rows")
+    parser.add_argument(
+        "--daily", action="store_true", help="the interactions are new ones; merge them into ROOT/daily, from --previous to VERSION"
+    )
     parser.add_argument("--stages", nargs="+", choices=STAGES, default=STAGES)
     args = parser.parse_args(argv)
+    if args.daily and not args.sequence:
+        parser.error("--daily needs --sequence, a column with one order over all runs")
 
     spark = build_session()
     how = {"fmt": args.format, "multiline": args.multiline}
@@ -46,10 +52,14 @@ def main(argv: list[str] | None = None) -> None:
     if args.ingest:
         ingest_interactions(interactions, f"{args.root}/ingested")
         interactions = read_interactions(spark, f"{args.root}/ingested", "parquet", sequence=SEQ)
+    therapists = read_therapists(spark, args.therapists, **how)
+    if args.daily:
+        daily.run(spark, interactions, therapists, f"{args.root}/daily", args.version, args.previous, args.adjacency)
+        return
     run_all(
         spark,
         interactions,
-        read_therapists(spark, args.therapists, **how),
+        therapists,
         args.root,
         args.version,
         previous=args.previous,

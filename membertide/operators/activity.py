@@ -90,6 +90,11 @@ def last_organization(interactions: DataFrame) -> DataFrame:
     interactions, and the rows of a generator stay where they are, so the roll-up itself needs
     no shuffle. All-time rows have no start.
     """
+    return last_rows(interactions).drop("seq")
+
+
+def last_rows(interactions: DataFrame) -> DataFrame:
+    """``last_organization`` with the ``seq`` of the row that counts, so that results can be merged."""
     day = F.col("interaction_date")
     cell = F.greatest(period_start(day, WEEKLY), period_start(day, MONTHLY))
     cells = (
@@ -109,13 +114,21 @@ def last_organization(interactions: DataFrame) -> DataFrame:
         "seq",
         F.stack(F.lit(4), *starts, F.lit(ALLTIME), F.lit(None).cast("date")).alias("period_type", "period_start"),
     )
-    return (
-        periods.filter((F.col("period_type") == ALLTIME) | F.col("period_start").isNotNull())
-        .groupBy("therapist_id", "period_type", "period_start")
-        .agg(F.max_by("organization_id", "seq").alias("organization_id"))
+    return merged_rows(periods.filter((F.col("period_type") == ALLTIME) | F.col("period_start").isNotNull()))
+
+
+def merged_rows(rows: DataFrame) -> DataFrame:
+    """The row of the highest ``seq`` per therapist and period; keeping the last may be repeated in any order."""
+    return rows.groupBy("therapist_id", "period_type", "period_start").agg(
+        F.max_by("organization_id", "seq").alias("organization_id"), F.max("seq").alias("seq")
     )
 
 
+def period_counts(last: DataFrame) -> DataFrame:
+    """Active therapists per period and organization from ``last_organization``."""
+    return last.groupBy("period_type", "period_start", "organization_id").agg(F.count("*").alias("n"))
+
+
 def activity_summary(last: DataFrame, totals: Totals) -> DataFrame:
     """All seven variants in one frame from ``last_organization``.
 
@@ -124,8 +137,12 @@ def activity_summary(last: DataFrame, totals: Totals) -> DataFrame:
     period, so application counts are sums of organization counts and no second count of
     therapists is needed.
     """
+    return counts_summary(period_counts(last), totals)
+
+
+def counts_summary(per_org: DataFrame, totals: Totals) -> DataFrame:
+    """``activity_summary`` from ``period_counts``."""
     alltime = totals.scalar()
-    per_org = last.groupBy("period_type", "period_start", "organization_id").agg(F.count("*").alias("n"))
     counted = (
         per_org.groupingSets(
             [["period_type", "period_start", "organization_id"], ["period_type", "period_start"]],

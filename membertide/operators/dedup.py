@@ -33,6 +33,27 @@ def keep_last(df: DataFrame, keys: Sequence[str], order_by: str = SEQ) -> DataFr
     )
 
 
+_HASHES = 1 << 32
+
+
+def keep_last_told(df: DataFrame, keys: Sequence[str], order_by: str = SEQ, tied: str = "tied") -> DataFrame:
+    """``keep_last`` by a BIGINT order that may not be unique, with a column that tells where it was not.
+
+    ``tied`` is true where rows of the highest order differ; whichever was kept, another had the same claim. It takes no
+    further shuffle: with each row's hash below its order, once as it is and once reversed, the two greatest
+    numbers belong to one row unless the last rows differ. They are of fixed width as well.
+    """
+    rest = [c for c in df.columns if c not in keys and c != order_by]
+    hashed = F.hash(*rest).cast("bigint").bitwiseAND(F.lit(_HASHES - 1)) if rest else F.lit(0)
+    order = F.col(order_by).cast("decimal(19,0)") * F.lit(_HASHES).cast("decimal(11,0)")
+    numbers = df.withColumns({"__up": order + hashed.cast("decimal(11,0)"), "__down": order + (F.lit(_HASHES - 1) - hashed).cast("decimal(11,0)")})
+    kept = numbers.groupBy(*keys).agg(
+        *(F.max_by(c, order_by).alias(c) for c in rest), F.max(order_by).alias(order_by), F.max("__up").alias("__up"), F.max("__down").alias("__down")
+    )
+    alone = F.col(order_by).cast("decimal(19,0)") * F.lit(2 * _HASHES).cast("decimal(11,0)") + F.lit(_HASHES - 1).cast("decimal(11,0)")
+    return kept.select(*df.columns, (F.col("__up") + F.col("__down") != alone).alias(tied))
+
+
 def dedup_daily(interactions: DataFrame) -> DataFrame:
     """Last row per therapist and interaction date.
 

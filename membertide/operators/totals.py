@@ -37,18 +37,26 @@ def alltime_period(therapists: DataFrame) -> DataFrame:
     Totals count rows, not distinct ids. No therapists at all give no row.
     """
     first, last = F.min("date_joined").cast("date"), F.max("date_joined").cast("date")
-    return (
-        therapists.agg(
-            first.alias("period_start"), last.alias("period_end"), F.count("*").alias("total_ther")
-        )
-        .filter(F.col("total_ther") > 0)
-        .withColumn("all_time_period", range_label(F.col("period_start"), F.col("period_end")))
-    )
+    return _labelled(therapists.agg(first.alias("period_start"), last.alias("period_end"), F.count("*").alias("total_ther")))
+
+
+def _labelled(alltime: DataFrame) -> DataFrame:
+    counted = alltime.filter(F.col("total_ther") > 0)
+    return counted.withColumn("all_time_period", range_label(F.col("period_start"), F.col("period_end")))
 
 
 def count_totals(therapists: DataFrame) -> Totals:
-    sizes = therapists.groupBy("organization_id").agg(F.count("*").alias("total_ther"))
-    return Totals(alltime_period(therapists), sizes)
+    """Both figures from one scan: per organization first, and all time out of the organizations.
+
+    Spark shares the aggregate only if both ask for the same columns, so the sizes look at the dates
+    as well, by a test that always holds: the first date is never after the last.
+    """
+    dates = F.min("date_joined").alias("first_joined"), F.max("date_joined").alias("last_joined")
+    per_org = therapists.groupBy("organization_id").agg(F.count("*").alias("total_ther"), *dates)
+    per_org = per_org.filter(F.coalesce(F.col("first_joined") <= F.col("last_joined"), F.lit(True)))
+    first, last = F.min("first_joined").cast("date"), F.max("last_joined").cast("date")
+    alltime = per_org.agg(first.alias("period_start"), last.alias("period_end"), F.sum("total_ther").alias("total_ther"))
+    return Totals(_labelled(alltime), per_org.select("organization_id", "total_ther"))
 
 
 def total_all(totals: Totals) -> DataFrame:

@@ -79,7 +79,8 @@ def summary(interactions: DataFrame, therapists: DataFrame) -> DataFrame:
     return activity.activity_summary(last, count_totals(clean_therapists(therapists)))
 
 
-def _summary_rates(figures: DataFrame, adjacency: str) -> DataFrame:
+def summary_rates(figures: DataFrame, adjacency: str = COMPAT) -> DataFrame:
+    """Rates of all variants that have them, from ``summary``."""
     return with_rates(with_previous(figures.filter(F.col("period_type") != ALLTIME), adjacency=adjacency))
 
 
@@ -90,7 +91,7 @@ def serving_totals(interactions: DataFrame, therapists: DataFrame) -> DataFrame:
 
 def serving_rates(interactions: DataFrame, therapists: DataFrame, adjacency: str = COMPAT) -> DataFrame:
     """All rate records, likewise from one pass."""
-    return serving.rate_records(_summary_rates(summary(interactions, therapists), adjacency))
+    return serving.rate_records(summary_rates(summary(interactions, therapists), adjacency))
 
 
 def chart_totals(interactions: DataFrame, therapists: DataFrame, period_type: str) -> DataFrame:

@@ -8,6 +8,8 @@ are read by ``activity`` alone.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from membertide.operators.cleaning import clean_interactions, clean_therapists
 from membertide.operators.history import sort_by_period, with_bounds, with_previous
 from membertide.operators.rating import with_rates
 from membertide.operators.totals import Totals, count_totals, total_all, total_per_org
+from membertide.plans.jobs import together
 from membertide.plans.kpis import therapist_input
 from membertide.schemas import (
     ALLTIME,
@@ -40,8 +43,8 @@ STAGES = ("totals", "activity", "history", "rates", "serve", "charts")
 def totals(therapists: DataFrame, root: str) -> None:
     """Total therapists, of the application and per organization."""
     counted = count_totals(clean_therapists(therapists))
-    writers.write_tsv(total_all(counted), f"{root}/num_of_ther/all")
-    writers.write_tsv(total_per_org(counted), f"{root}/num_of_ther/per-org")
+    tables = (total_all(counted), f"{root}/num_of_ther/all"), (total_per_org(counted), f"{root}/num_of_ther/per-org")
+    together(therapists.sparkSession, [partial(writers.write_tsv, *table) for table in tables])
 
 
 def _totals(spark: SparkSession, root: str) -> Totals:
@@ -67,8 +70,8 @@ def activity_with_inputs(
     _write_active(spark, last, root)
 
     totals_read = _totals(spark, root)
-    writers.write_delimited(therapist_input(therapists), f"{root}/therapist_input", files=files)
-    for level, period_type in TOTAL_VARIANTS:
+
+    def write_inputs(level: str, period_type: str) -> None:
         rows = last.filter(F.col("period_type") == period_type)
         if period_type != ALLTIME:
             rows = rows.withColumn("period", period_label(F.col("period_start"), period_type))
@@ -79,6 +82,9 @@ def activity_with_inputs(
             files=files,
         )
 
+    joined = partial(writers.write_delimited, therapist_input(therapists), f"{root}/therapist_input", files=files)
+    together(spark, [joined, *(partial(write_inputs, *variant) for variant in TOTAL_VARIANTS)])
+
 
 def _write_active(spark: SparkSession, last: DataFrame, root: str) -> None:
     path = f"{root}/activity"
@@ -86,7 +92,8 @@ def _write_active(spark: SparkSession, last: DataFrame, root: str) -> None:
     summary.write.mode("overwrite").partitionBy("level", "period_type").parquet(path)
     figures = spark.read.parquet(path)
     start, end = F.col("period_start"), F.col("period_end")
-    for level, period_type in TOTAL_VARIANTS:
+
+    def write(level: str, period_type: str) -> None:
         label = range_label(start, end) if period_type == ALLTIME else period_label(start, period_type)
         variant = figures.filter((F.col("level") == level) & (F.col("period_type") == period_type))
         writers.write_tsv(
@@ -94,6 +101,8 @@ def _write_active(spark: SparkSession, last: DataFrame, root: str) -> None:
             writers.stage_path(root, "active_ther", level, period_type),
         )
 
+    together(spark, [partial(write, *variant) for variant in TOTAL_VARIANTS])
+
 
 def _active(spark: SparkSession, root: str, level: str, period_type: str) -> DataFrame:
     active = readers.read_active(spark, writers.stage_path(root, "active_ther", level, period_type), level)
@@ -102,17 +111,21 @@ def _active(spark: SparkSession, root: str, level: str, period_type: str) -> Dat
 
 def history(spark: SparkSession, root: str, adjacency: str = COMPAT) -> None:
     """Add the figures of the period before, in the order of the periods."""
-    for level, period_type in RATE_VARIANTS:
+
+    def write(level: str, period_type: str) -> None:
         enriched = sort_by_period(with_previous(_active(spark, root, level, period_type), period_type, adjacency))
         writers.write_delimited(
             enriched.select(*schemas.rate_input(level).names),
             writers.stage_path(root, "rate_input", level, period_type),
         )
 
+    together(spark, [partial(write, *variant) for variant in RATE_VARIANTS])
+
 
 def rates(spark: SparkSession, root: str) -> None:
     """Churn and retention."""
-    for level, period_type in RATE_VARIANTS:
+
+    def write(level: str, period_type: str) -> None:
         path = writers.stage_path(root, "rate_input", level, period_type)
         rated = with_rates(readers.read_rate_input(spark, path, level))
         writers.write_delimited(
@@ -120,6 +133,8 @@ def rates(spark: SparkSession, root: str) -> None:
             writers.stage_path(root, "rate_output", level, period_type),
         )
 
+    together(spark, [partial(write, *variant) for variant in RATE_VARIANTS])
+
 
 def serve(
     spark: SparkSession, root: str, version: str, previous: str | None = None, fresh: bool = False
@@ -143,9 +158,12 @@ def serve(
         )
         for lv, p in RATE_VARIANTS
     ]
-    for name, feeds, keys in (("totals", total_feeds, TOTAL_KEYS), ("rates", rate_feeds, RATE_KEYS)):
+
+    def write(name: str, feeds: list[DataFrame], keys: tuple[str, ...]) -> None:
         current = serving_path(root, name, previous) if previous else None
         writers.write_version(spark, current, serving.union_feeds(feeds), keys, serving_path(root, name, version))
+
+    together(spark, [partial(write, "totals", total_feeds, TOTAL_KEYS), partial(write, "rates", rate_feeds, RATE_KEYS)])
     writers.publish(spark, f"{root}/serving", version)
 
 
@@ -161,13 +179,15 @@ def charts(spark: SparkSession, root: str, version: str) -> None:
     """
     if version not in writers.published(spark, f"{root}/serving"):
         raise ValueError(f"version {version!r} is not published")
+    tables = []
     for name, to_export in (("totals", charting.totals_export), ("rates", charting.rates_export)):
         path = serving_path(root, name, version)
-        writers.write_export(to_export(writers.read_version(spark, path)), f"{root}/export/{name}")
+        tables.append((to_export(writers.read_version(spark, path)), f"{root}/export/{name}"))
         export = to_export(writers.read_version(spark, path, APP))
         for period_type in CALENDAR_PERIODS:
-            writers.write_export(charting.bars(export, period_type), f"{root}/charts/{name}/{period_type}")
-            writers.write_export(charting.year_range(export, period_type), f"{root}/charts/{name}-years/{period_type}")
+            tables.append((charting.bars(export, period_type), f"{root}/charts/{name}/{period_type}"))
+            tables.append((charting.year_range(export, period_type), f"{root}/charts/{name}-years/{period_type}"))
+    together(spark, [partial(writers.write_export, *table) for table in tables])
 
 
 def run_all(

@@ -108,6 +108,12 @@ def rate_output(level: str) -> T.StructType:
     )
 
 
+#: What a day-by-day run keeps: the last row per therapist and period, and counts of them.
+STATE = _struct(
+    ("therapist_id", _S), ("period_type", _S), ("period_start", _DT), ("organization_id", _L), ("seq", _L)
+)
+COUNTS = _struct(("period_type", _S), ("period_start", _DT), ("organization_id", _L), ("n", _L))
+
 TOTAL_RECORD = _struct(
     ("organization_id", _L),
     ("period_type", _S),

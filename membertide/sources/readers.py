@@ -83,6 +83,20 @@ def read_therapists(spark: SparkSession, path: str, fmt: str = "csv", **options)
     return read_export(spark, path, schemas.THERAPIST, fmt, **options)
 
 
+#: Folder of an ingested month: 202403 for March 2024, null for rows without a date.
+MONTH = "month"
+
+
+def month_number(day: Column) -> Column:
+    return (F.year(day) * 100 + F.month(day)).cast("int")
+
+
+def read_months(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    """Ingested interactions of the months from ``first`` to ``last`` (as 202403); other months' files are not listed in the scan."""
+    schema = T.StructType([*schemas.INTERACTION.fields, T.StructField(SEQ, T.LongType()), T.StructField(MONTH, T.IntegerType())])
+    return spark.read.schema(schema).parquet(path).filter(F.col(MONTH).between(first, last)).drop(MONTH)
+
+
 def read_interactions(
     spark: SparkSession, path: str, fmt: str = "csv", sequence: str | None = None, clean: bool = False, **options
 ) -> DataFrame:

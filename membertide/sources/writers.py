@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from membertide.operators.serving import upsert
 from membertide.schemas import ALLTIME, APP, ORG, check_variant
+from membertide.sources.readers import MONTH, month_number
 
 
 def stage_path(root: str, stage: str, level: str, period_type: str) -> str:
@@ -45,13 +46,17 @@ def write_export(df: DataFrame, path: str, fmt: str = "csv") -> None:
         raise ValueError(f"{fmt} is not a known export format")
 
 
-def ingest_interactions(interactions: DataFrame, path: str) -> None:
+def ingest_interactions(interactions: DataFrame, path: str, months: bool = False) -> None:
     """Write interactions once as Parquet, with the BIGINT ``seq`` that tells their file order.
 
     ``seq`` was made where the rows were read, so nothing is shuffled; rows keep whatever
-    clustering by date they came in.
+    clustering by date they came in. With ``months`` they lie in a folder per month (``readers.MONTH``), so that a run
+    over some months reads those alone; input that is not ordered by date then makes a file per task and month.
     """
-    interactions.write.mode("overwrite").parquet(path)
+    if months:
+        interactions = interactions.withColumn(MONTH, month_number(F.col("interaction_date")))
+    writer = interactions.write.mode("overwrite")
+    (writer.partitionBy(MONTH) if months else writer).parquet(path)
 
 
 def read_version(spark: SparkSession, path: str, level: str | None = None) -> DataFrame:

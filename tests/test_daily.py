@@ -1,0 +1,250 @@
+"""Runs day by day against whole runs, and what they leave alone."""
+
+from __future__ import annotations
+
+import os
+import re
+
+import pytest
+
+from compare import plan
+from frames import day, interactions, rows, therapists
+from membertide import schemas
+from membertide.operators.activity import merged_rows
+from membertide.operators.dedup import keep_last_told
+from membertide.plans import daily, kpis
+from membertide.plans.jobs import together
+from membertide.schemas import ORG, RATE_KEYS, TOTAL_KEYS
+from membertide.sources import parts, shared, star_tables
+
+FIRST = [
+    (1, "a", "2024-01-01", 1),
+    (2, "b", "2024-01-03", 2),
+    (4, "a", "2024-02-14", 2),
+    (5, "c", "2024-02-15", 1, 1, 0),  # not counted
+    (6, "c", "2023-12-31", 3),
+    (7, "d", None, 3),
+]
+SECOND = [
+    (3, "a", "2024-01-02", 9),  # late, but later in the week than row 1
+    (8, "b", "2024-03-05", 1),
+    (9, "d", "2024-03-06", 3),
+]
+MEMBERS = [("a", 1, "2023-01-01"), ("b", 2, "2023-05-05"), ("c", 3, None), ("d", 3, "2023-02-02")]
+
+
+def files(folder):
+    """Every data file with its time of change and size."""
+    found = {}
+    for top, _, names in os.walk(folder):
+        for name in names:
+            if name.startswith("part-"):
+                path = os.path.join(top, name)
+                found[path] = (os.stat(path).st_mtime_ns, os.stat(path).st_size)
+    return found
+
+
+@pytest.fixture
+def members(spark):
+    return therapists(spark, MEMBERS)
+
+
+def test_two_runs_equal_one(spark, members, tmp_path):
+    daily.run(spark, interactions(spark, FIRST), members, f"{tmp_path}/two", "1")
+    daily.run(spark, interactions(spark, SECOND), members, f"{tmp_path}/two", "2", "1")
+    daily.run(spark, interactions(spark, FIRST + SECOND), members, f"{tmp_path}/one", "1")
+    whole = interactions(spark, FIRST + SECOND)
+    for root, version in ((f"{tmp_path}/two", "2"), (f"{tmp_path}/one", "1")):
+        assert rows(daily.summary(spark, members, root, version)) == rows(kpis.summary(whole, members))
+        assert rows(daily.records(spark, root, "totals", version)) == rows(kpis.serving_totals(whole, members))
+        assert rows(daily.records(spark, root, "rates", version)) == rows(kpis.serving_rates(whole, members))
+
+
+def test_runs_in_any_order_give_the_same(spark, members, tmp_path):
+    for number, batch in enumerate((SECOND, FIRST)):
+        daily.add_interactions(spark, interactions(spark, batch), str(tmp_path), str(number), str(number - 1) if number else None)
+    assert rows(daily.summary(spark, members, str(tmp_path), "1")) == rows(kpis.summary(interactions(spark, FIRST + SECOND), members))
+
+
+def test_a_run_touches_the_periods_of_its_rows(spark, members, tmp_path):
+    root = str(tmp_path)
+    daily.run(spark, interactions(spark, FIRST), members, root, "1")
+    before = {folder: files(f"{root}/{folder}/data/1") for folder in ("state", "counts", "totals", "rates")}
+    touched = daily.run(spark, interactions(spark, SECOND), members, root, "2", "1")
+    assert touched == {
+        "alltime-all", "weekly-2024-01-01", "weekly-2024-03-04", "monthly-2024-01-01", "monthly-2024-03-01", "yearly-2024-01-01",
+    }
+    for folder, found in before.items():
+        assert files(f"{root}/{folder}/data/1") == found
+    kept = set(parts.manifest(spark, f"{root}/state", "2")) - touched
+    assert kept == {"weekly-2023-12-25", "weekly-2024-02-12", "monthly-2023-12-01", "monthly-2024-02-01", "yearly-2023-01-01"}
+    assert "org-weekly-2023" not in parts.written(spark, f"{root}/totals", "2")
+
+
+def test_a_run_reads_no_part_it_does_not_touch(spark, members, tmp_path):
+    root = str(tmp_path)
+    daily.add_interactions(spark, interactions(spark, FIRST), root, "1")
+    read = parts.read(spark, f"{root}/state", "1", schemas.STATE, {"weekly-2024-02-12"})
+    assert all("part=weekly-2024-02-12" in f for f in read.inputFiles())
+    assert rows(read, "therapist_id", "organization_id", "seq") == [("a", 2, 4)]
+
+
+def test_a_run_may_be_repeated(spark, members, tmp_path):
+    root = str(tmp_path)
+    first, second = interactions(spark, FIRST), interactions(spark, SECOND)
+    daily.run(spark, first, members, root, "1")
+    touched = daily.add_interactions(spark, second, root, "2", "1")  # fails before it serves
+    assert daily.run(spark, second, members, root, "2", "1") == touched
+    want = rows(kpis.serving_totals(interactions(spark, FIRST + SECOND), members))
+    assert rows(daily.records(spark, root, "totals", "2")) == want
+    old = rows(kpis.serving_totals(first, members))
+    assert rows(daily.records(spark, root, "totals", "1")) == old
+
+
+def test_a_run_without_rows_changes_nothing(spark, members, tmp_path):
+    root = str(tmp_path)
+    daily.run(spark, interactions(spark, FIRST), members, root, "1")
+    assert daily.run(spark, interactions(spark, []), members, root, "2", "1") == set()
+    for name in ("totals", "rates"):
+        assert parts.written(spark, f"{root}/{name}", "2") == set()
+        assert rows(daily.records(spark, root, name, "2")) == rows(daily.records(spark, root, name, "1"))
+
+
+def test_new_therapists_change_what_is_measured_against_them(spark, members, tmp_path):
+    root = str(tmp_path)
+    daily.run(spark, interactions(spark, FIRST), members, root, "1")
+    more = therapists(spark, [*MEMBERS, ("e", 2, "2024-01-01")])
+    daily.run(spark, interactions(spark, []), more, root, "2", "1")
+    assert rows(daily.records(spark, root, "totals", "2")) == rows(kpis.serving_totals(interactions(spark, FIRST), more))
+    assert "app-alltime-all" in parts.written(spark, f"{root}/totals", "2")
+
+
+def test_parts_without_records_go(spark, tmp_path):
+    record = lambda org, start: (org, "weekly", day(start), day(start), True, 1)
+    old, new = [record(1, "2023-01-02"), record(2, "2024-01-01")], [record(2, "2024-01-01")]
+    for version, records in (("1", old), ("2", new)):
+        frame = spark.createDataFrame(records, schemas.TOTAL_RECORD)
+        daily.replace_records(spark, str(tmp_path), "1" if version == "2" else None, version, frame, schemas.TOTAL_RECORD)
+    assert set(parts.manifest(spark, str(tmp_path), "2")) == {"org-weekly-2024"}
+    assert rows(parts.read(spark, str(tmp_path), "2", schemas.TOTAL_RECORD)) == rows(spark.createDataFrame(new, schemas.TOTAL_RECORD))
+    assert len(rows(parts.read(spark, str(tmp_path), "1", schemas.TOTAL_RECORD))) == 2
+
+
+def test_records_are_upserted_part_by_part(spark, tmp_path):
+    root = str(tmp_path)
+    record = lambda org, start, value: (org, "weekly", day(start), day(start), True, value)
+    frame = lambda records: spark.createDataFrame(records, schemas.TOTAL_RECORD)
+    old = [record(1, "2023-01-02", 5), record(1, "2024-01-01", 6), record(None, "2024-01-01", 7), record(2, "2024-01-08", 8)]
+    daily.upsert_records(spark, root, None, "1", frame(old), TOTAL_KEYS, schemas.TOTAL_RECORD)
+    before = files(f"{root}/data")
+    new = [record(1, "2023-01-02", 5), record(2, "2024-01-08", 9), record(3, "2024-01-15", 1)]
+    touched = daily.upsert_records(spark, root, "1", "2", frame(new), TOTAL_KEYS, schemas.TOTAL_RECORD)
+    assert touched == {"org-weekly-2024"}  # an equal record is no change
+    assert {f: s for f, s in files(f"{root}/data").items() if f in before} == before
+    found = parts.read(spark, root, "2", schemas.TOTAL_RECORD)
+    assert rows(found) == sorted([old[0], old[1], old[2], new[1], new[2]], key=repr)
+    with pytest.raises(ValueError, match="stays as it is"):
+        daily.upsert_records(spark, root, "1", "2", frame(new), TOTAL_KEYS, schemas.TOTAL_RECORD)
+    with pytest.raises(ValueError, match="does not exist"):
+        daily.upsert_records(spark, root, "0", "3", frame(new), TOTAL_KEYS, schemas.TOTAL_RECORD)
+
+
+def test_rates_have_parts_too(spark, members, tmp_path):
+    rates = kpis.serving_rates(interactions(spark, FIRST), members)
+    daily.upsert_records(spark, str(tmp_path), None, "1", rates, RATE_KEYS, schemas.RATE_RECORD)
+    assert rows(parts.read(spark, str(tmp_path), "1", schemas.RATE_RECORD)) == rows(rates)
+
+
+def test_merging_is_free_of_order(spark):
+    state = spark.createDataFrame([("a", "weekly", day("2024-01-01"), 1, 5), ("a", "weekly", day("2024-01-01"), 2, 9)], schemas.STATE)
+    again = merged_rows(merged_rows(state).unionByName(state))
+    assert rows(again, "organization_id", "seq") == [(2, 9)]
+
+
+def test_therapists_are_read_once(spark, sf_dir, tmp_path):
+    path = f"{tmp_path}/therapists"
+    star_tables.therapists(spark, sf_dir).write.parquet(path)
+    stored, inputs = spark.read.parquet(path), star_tables.interactions(spark, sf_dir)
+    members = stored.filter("organization_id IS NOT NULL")
+    from membertide.operators.totals import count_totals, total_per_org
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # plans show at once what is reused
+    try:
+        for build in (
+            lambda: total_per_org(count_totals(members)),
+            lambda: kpis.serving_totals(inputs, stored),
+            lambda: kpis.active(inputs, stored, ORG, "weekly"),
+        ):
+            text = plan(build())
+            assert len(re.findall(r"FileScan parquet \[[^\]]*date_joined", text)) == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_jobs_run_together_and_failures_are_told(spark, tmp_path):
+    done = []
+
+    def job(i):
+        if i == 2:
+            raise KeyError(i)
+        done.append(spark.range(i).count())
+
+    together(spark, [lambda i=i: job(i) for i in (0, 1, 3)])
+    assert sorted(done) == [0, 1, 3]
+    with pytest.raises(KeyError):
+        together(spark, [lambda i=i: job(i) for i in (1, 2, 3)])
+    assert sorted(done) == [0, 1, 1, 3, 3]
+
+
+def test_command_line_day_by_day(spark, members, tmp_path):
+    from membertide.__main__ import main
+    from membertide.sources import writers
+
+    writers.write_export(members, f"{tmp_path}/t")
+    for version, batch, previous in (("1", FIRST, []), ("2", SECOND, ["--previous", "1"])):
+        writers.write_export(interactions(spark, batch), f"{tmp_path}/{version}")
+        main([f"{tmp_path}/t", f"{tmp_path}/{version}", f"{tmp_path}/out", version, "--sequence", "seq", "--daily", *previous])
+    want = rows(kpis.serving_rates(interactions(spark, FIRST + SECOND), members))
+    assert rows(daily.records(spark, f"{tmp_path}/out/daily", "rates", "2")) == want
+    with pytest.raises(SystemExit):
+        main([f"{tmp_path}/t", f"{tmp_path}/1", f"{tmp_path}/out", "3", "--daily"])
+
+
+def test_ties_of_the_order_are_told(spark):
+    data = [("a", 5, "x"), ("a", 5, "y"), ("a", 4, "z"), ("b", 7, "x"), ("b", 7, "x"), ("b", -9, "y"), ("c", -3, "p"), ("c", -4, "q"), ("d", 1, None), ("d", 1, "x")]
+    df = spark.createDataFrame([*data, ("e", (1 << 63) - 1, "u"), ("e", (1 << 63) - 1, "v")], "k string, o bigint, v string").repartition(3)
+    told = keep_last_told(df, ["k"], "o")
+    found = {r.k: r for r in told.collect()}
+    assert {k: r.tied for k, r in found.items()} == {"a": True, "b": False, "c": False, "d": True, "e": True}
+    assert found["b"].v == "x" and found["c"].o == -3
+    text = plan(keep_last_told(df.selectExpr("k", "o", "hash(v) AS v"), ["k"], "o"))
+    assert text.count("Exchange hashpartitioning") == 1 and "Sort" not in text
+
+
+def test_a_quarter_reads_its_months(spark, sf_dir, tmp_path):
+    from membertide.sources import readers, writers
+
+    whole = star_tables.interactions(spark, sf_dir)
+    writers.ingest_interactions(whole, f"{tmp_path}/i", months=True)
+    read = readers.read_months(spark, f"{tmp_path}/i", 199704, 199706)
+    text = plan(kpis.active(read, star_tables.therapists(spark, sf_dir), ORG, "weekly"))
+    assert "month#" in re.search(r"PartitionFilters: \[([^\]]*)\]", text)[1]
+    assert rows(read, "seq") == rows(whole.filter("interaction_date BETWEEN DATE'1997-04-01' AND DATE'1997-06-30'"), "seq")
+
+
+def test_the_shared_folder_must_be_named_off_a_local_master(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class Session:
+        sparkContext, conf = Context, Conf
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_dir(Session)
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_dir(Session)
