@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from membertide.sources.shared import delete_folder, shared_dir
+
 #: Text that a Python worker takes up at once, in bytes; a longer single text comes alone.
 CHUNK_BYTES = 2 << 20
 #: Rows, and bytes, up to which a measured side of a join is broadcast. Beyond them it is shuffled.
@@ -41,17 +44,6 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one made here where it is unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    return context.getCheckpointDir()
-
-
 class Scratch:
     """Tables written to the shared folder to cut lineage; ``close`` deletes them.
 
@@ -63,6 +55,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/membertide-{uuid.uuid4().hex}"
+        self.paths: dict[int, str] = {}
         Scratch._open.add(self)
 
     def path(self, name: str) -> str:
@@ -71,13 +64,24 @@ class Scratch:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        made = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(made)] = path
+        return made
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that nothing will read again, and have Spark clean up what the jobs behind them shuffled.
+
+        Spark removes shuffle files once the driver has collected the objects that stand for them, which
+        it may not do for a long time by itself.
+        """
+        for table in tables:
+            delete_folder(self.spark, self.paths.pop(id(table)))
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
     def close(self) -> None:
         Scratch._open.discard(self)
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+        delete_folder(self.spark, self.root)
 
     @classmethod
     def close_all(cls) -> None:

@@ -365,6 +365,8 @@ def join_components(
     left = sets_of(docs, scratch.table(lone, "lone"), width, doc_id, text).withColumnRenamed("shingles", "left")
     right = sets_of(docs, scratch.table(middle, "middle"), width, doc_id, text).dropDuplicates(["b"]).withColumnRenamed("shingles", "right")
     links = scratch.table(linked_pairs(split_join(left, right, F.col("b").cast("decimal(20,0)")), bands), "links")
+    del left, right
+    scratch.drop(nearest)
     roots = components(links, scratch)
 
     # families are found among components, so what is united already adds no edge
@@ -377,6 +379,7 @@ def join_components(
     members = sets.withColumn("band", F.size(F.filter(F.array(*map(F.lit, upper)), lambda u: u < F.col("n"))))
     pairs = scratch.table(residual_pairs(members.drop("shingles"), scratch, bands), "pairs")
     more = scratch.table(verified(pairs, sets, bands), "more")
+    scratch.drop(sets, pairs)
     further = components(scratch.table(contracted(more, roots), "further"), scratch)
     further = further.select(F.col("node").alias("had"), F.col("root").alias("now"))
 
