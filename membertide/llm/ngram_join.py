@@ -315,8 +315,8 @@ def residual_pairs(members: DataFrame, scratch: Scratch, bands: Bands) -> DataFr
     reach = F.get(F.array(*[F.lit(bands.reach(b)) for b in range(MOST_BANDS)]), F.col("band") - 1)
     levels = F.when((F.col("band") > 0) & (F.col("n") <= reach), F.array(F.col("band"), F.col("band") - 1)).otherwise(F.array("band"))
     placed = scratch.table(members.select("*", F.explode(levels).alias("level")), "placed")
-    parts = placed.groupBy("family", "level").agg(F.ceil(F.greatest(F.count("*") / TILE_SETS, F.sum(F.length("bitmap")) / TILE_BYTES)).cast("int").alias("parts"), F.count_distinct("root").alias("roots"))
-    split = placed.join(parts.filter("roots > 1"), ["family", "level"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    parts = placed.groupBy("family", "level").agg(F.ceil(F.greatest(F.count("*") / TILE_SETS, F.sum(F.length("bitmap")) / TILE_BYTES)).cast("int").alias("parts"), F.min("root").alias("least"), F.max("root").alias("most"))
+    split = placed.join(parts.filter("least <> most").drop("least", "most"), ["family", "level"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     other = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     tiles = other.select(
         "family", "level", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
@@ -331,7 +331,9 @@ def residual_pairs(members: DataFrame, scratch: Scratch, bands: Bands) -> DataFr
         pairs = tile_pairs(column["n"], column["node"], column["root"], column["own"].astype(bool), maps, column["side"], bits, bands)
         return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
 
-    return tiles.groupBy("family", "level", "p", "q").applyInArrow(compare, "a bigint, b bigint").distinct()
+    # dealt by tile: the join's partitions would keep a family's tiles in one task
+    dealt = tiles.repartition("family", "level", "p", "q")
+    return dealt.groupBy("family", "level", "p", "q").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 #: Bands up to sets of many billions.
