@@ -291,6 +291,7 @@ def tile_pairs(sizes, nodes, roots, own, maps, side, bits: int, bands: Bands) ->
     the one part of a tile on the diagonal. Of a pair at least one is of the band.
     """
     rows = _bit_rows(maps, bits)
+    ones = np.bitwise_count(rows).sum(axis=1, dtype=np.int64)
     left = np.flatnonzero(side < 2)
     right = np.flatnonzero(side != 1)
     found, with_ = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -300,9 +301,10 @@ def tile_pairs(sizes, nodes, roots, own, maps, side, bits: int, bands: Bands) ->
             other = other[other > i]
         low, high = np.minimum(sizes[other], sizes[i]), np.maximum(sizes[other], sizes[i])
         other = other[100 * low >= bands.percent * high]
-        lost = np.bitwise_count(rows[i] & ~rows[other]).sum(axis=1, dtype=np.int64)
-        gained = np.bitwise_count(rows[other] & ~rows[i]).sum(axis=1, dtype=np.int64)
-        bound = np.minimum(sizes[i] - lost, sizes[other] - gained)
+        # bits in which they differ; lost and gained ones differ as the ones do
+        apart = np.bitwise_count(rows[other] ^ rows[i]).sum(axis=1, dtype=np.int64)
+        lost = (apart + ones[i] - ones[other]) // 2
+        bound = np.minimum(sizes[i] - lost, sizes[other] - (apart - lost))
         passed = other[bands.linked(bound, sizes[i], sizes[other])]
         found.append(nodes[passed])
         with_.append(np.full(len(passed), nodes[i], np.int64))

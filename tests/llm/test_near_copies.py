@@ -334,7 +334,7 @@ def test_recall_of_links_near_the_limit(spark):
     assert gone <= set(range(1, 800, 2)) and len(gone) >= 0.99 * 400
 
 
-def test_bitmaps_never_rule_out_a_link(spark):
+def test_line_bitmaps_never_rule_out_a_link(spark):
     pairs = similar_lines(60) + [("x" * 40, "x" * 33), ("short", "short"), ("ab" * 200, "ab" * 190 + "cd")]
     lines = spark.createDataFrame([(i, p[i % 2]) for i, p in enumerate(q for q in pairs for _ in (0, 1))], "a bigint, line string")
     shaped = line_dedup.shapes(lines)
