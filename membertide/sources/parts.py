@@ -6,6 +6,9 @@ the others where they were. The manifest is written last and makes the version;
 that failed may be repeated, and replaces what it left. A version that has its manifest is never
 written again. Files of an older version are never touched, so its readers go on undisturbed.
 
+A part has one file, however many tasks merged its rows; only where one is large does Spark deal it, and parts that share
+its exchange partition, to several tasks. So files grow with the parts and the bytes, not with parts times tasks.
+
 A part is told by an expression of a row, whose values are short names of letters, digits and
 dashes, and few: they follow the calendar, not the data. Their list is all the driver sees.
 """
@@ -69,7 +72,9 @@ def update(
     if touched:
         current = read(spark, root, previous, schema, touched) if previous is not None else spark.createDataFrame([], schema)
         merged = merge(current, rows.select(*schema.names)).select(*schema.names)
-        merged.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(f"{root}/data/{version}")
+        # a part's rows come together, or each task would write a file for each part; a large part is split again
+        dealt = merged.withColumn("part", part).hint("rebalance", "part")
+        dealt.write.mode("overwrite").partitionBy("part").parquet(f"{root}/data/{version}")
     kept = [(name, folder) for name, folder in sorted(before.items()) if name not in touched and name not in dropped]
     listed = kept + [(name, f"data/{version}/part={name}") for name in sorted(touched)]
     spark.createDataFrame(listed, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifests/{version}")

@@ -89,6 +89,24 @@ def test_a_run_reads_no_part_it_does_not_touch(spark, members, tmp_path):
     assert rows(read, "therapist_id", "organization_id", "seq") == [("a", 2, 4)]
 
 
+def test_a_part_has_one_file_unless_it_is_large(spark, tmp_path):
+    columns = ["concat('t', id) therapist_id", "'weekly' period_type", "date_add(DATE'2024-01-01', CAST(7 * (id % 5) AS INT)) period_start"]
+    small = spark.range(2000).selectExpr(*columns, "id % 3 organization_id", "id seq")
+    large = spark.range(200_000).selectExpr("concat('t', id) therapist_id", "'alltime' period_type", "CAST(NULL AS DATE) period_start", "1L organization_id", "id seq")
+    found = {}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        for name, new in (("small", small), ("large", large)):
+            new, root = new.repartition(8), f"{tmp_path}/{name}"  # as a merge over many tasks leaves them
+            parts.update(spark, root, None, "1", new, daily.period_part(), lambda current, rows: rows, schemas.STATE)
+            assert rows(parts.read(spark, root, "1", schemas.STATE)) == rows(new.select(*schemas.STATE.names))
+            found |= {part: len(files(f"{root}/{folder}")) for part, folder in parts.manifest(spark, root, "1").items()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert found.pop("alltime-all") > 1  # no task holds it whole
+    assert len(found) == 5 and set(found.values()) == {1}
+
+
 def test_a_run_may_be_repeated(spark, members, tmp_path):
     root = str(tmp_path)
     first, second = interactions(spark, FIRST), interactions(spark, SECOND)
