@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 from collections import defaultdict
@@ -230,6 +231,29 @@ def test_lines_equal_brute_force(spark, docs, rows):
     assert sorted((str(r.doc_id), r.gone, str(r.text)) for r in out.collect()) == sorted(want)
 
 
+@pytest.mark.parametrize("rows_sent", [0, 400_000])
+def test_verification_reads_the_texts_once(spark, monkeypatch, rows_sent):
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", rows_sent)
+    scratch, rng = Scratch(spark), random.Random(5)
+    lines = [data.prose(rng, 12, 10**3) for _ in range(6)]
+    lines = [" ".join(words) if isinstance(words, list) else words for words in lines]
+    lines += [lines[0] + "x", lines[1][:-2], lines[0], "short", "short!"]
+    table = scratch.table(spark.createDataFrame(list(enumerate(lines)), "a bigint, line string"), "texts")
+    every = [(x, y) for y in range(len(lines)) for x in range(y)]
+    links = line_dedup.verified(scratch.table(spark.createDataFrame(every, "x bigint, y bigint"), "pairs"), table, 0.8)
+    sets = [line_shingles(line) for line in lines]
+    assert {(r.a, r.b) for r in links.collect()} == {(x, y) for x, y in every if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])} != set()
+    plan = links._jdf.queryExecution().analyzed().toString()
+    assert len(re.findall(r"Relation \[a#\d+L?,line#\d+\]", plan)) == 1
+
+
+def test_line_dedup_drops_tables_after_their_last_read(spark, docs):
+    scratch = Scratch(spark)
+    line_dedup.dedup_marks(docs, scratch).count()
+    left = {name.rsplit("-", 1)[0] for name in os.listdir(scratch.root.removeprefix("file:"))}
+    assert "lines" in left and not left & {"shared", "signed", "members", "texts", "shapes", "pairs", "links", "rest", "mixed", "left"}
+
+
 def test_line_dedup_runs_no_python(spark, docs):
     plan = line_dedup.dedup_lines(docs, Scratch(spark))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
