@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import time
 from collections import defaultdict
 
 import llm_data as data
@@ -254,6 +255,19 @@ def test_line_dedup_drops_tables_after_their_last_read(spark, docs):
     assert "lines" in left and not left & {"shared", "signed", "members", "texts", "shapes", "pairs", "links", "rest", "mixed", "left"}
 
 
+def test_scratch_tables_leave_no_shuffle(spark):
+    status = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {b.name() for b in (blocks.apply(i) for blocks in [status.getAllBlocks()] for i in range(blocks.size())) if b.isShuffle()}
+    before = shuffles()
+    made = Scratch(spark).table(spark.range(100_000).groupBy((F.col("id") % 1009).alias("g")).count(), "counts")
+    for _ in range(50):  # it is asked of the executors, not waited for
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before
+    assert made.count() == 1009 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_line_dedup_runs_no_python(spark, docs):
     plan = line_dedup.dedup_lines(docs, Scratch(spark))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
