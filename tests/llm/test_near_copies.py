@@ -248,6 +248,34 @@ def test_verification_reads_the_texts_once(spark, monkeypatch, rows_sent):
     assert len(re.findall(r"Relation \[a#\d+L?,line#\d+\]", plan)) == 1
 
 
+def test_residual_pairs_are_verified_as_far_as_they_can_change_a_component(spark, monkeypatch):
+    rng, asked = random.Random(8), []
+    groups = [" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(40)) for _ in range(3)]
+    lines = {100 * g + i: f"{line} {i:02d}" for g, line in enumerate(groups) for i in range(20)}
+    lines |= {300 + i: f"{groups[2][: 120 + 8 * i]} " + "".join(rng.choice("qrstuvwxyz") for _ in range(160 - 8 * i)) for i in range(20)}
+    root = {a: a if a % 100 >= 15 or a >= 300 else a // 100 * 100 for a in lines}
+    every = [(x, y, *sorted((root[x], root[y])), y - x) for x in lines for y in lines if x < y and root[x] != root[y] and (x // 100 == y // 100 or x // 100 == 2)]
+    scratch, verify = Scratch(spark), line_dedup.verified
+    texts = scratch.table(spark.createDataFrame(list(lines.items()), "a bigint, line string"), "texts")
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(line_dedup, "verified", counted)
+    pairs = scratch.table(spark.createDataFrame(every, "x bigint, y bigint, lo bigint, hi bigint, apart int"), "left")
+    links = {(r.a, r.b) for r in line_dedup.residual_links(pairs, texts, scratch, 0.8).collect()}
+    sets, at = {a: line_shingles(line) for a, line in lines.items()}, {a: i for i, a in enumerate(lines)}
+    all_links = {(x, y) for x, y, *_ in every if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])}
+    own = [(at[a], at[r]) for a, r in root.items()]
+    united = [data.union_find(len(lines), own + [(at[x], at[y]) for x, y in some]) for some in (links, all_links)]
+    united = [[found.index(r) for r in found] for found in united]
+    assert links < all_links and united[0] == united[1] and len(set(united[0])) < len(lines) - 50
+    apart = sum(united[0][at[x]] != united[0][at[y]] for x, y, *_ in every)
+    assert apart < sum(asked) < 0.8 * len(every) and max(asked) <= 2 * len(lines)
+    assert not any(name.startswith(("left", "chosen")) for name in os.listdir(scratch.root.removeprefix("file:")))
+
+
 def test_line_dedup_drops_tables_after_their_last_read(spark, docs):
     scratch = Scratch(spark)
     line_dedup.dedup_marks(docs, scratch).count()
