@@ -276,6 +276,33 @@ def test_residual_pairs_are_verified_as_far_as_they_can_change_a_component(spark
     assert not any(name.startswith(("left", "chosen")) for name in os.listdir(scratch.root.removeprefix("file:")))
 
 
+def test_long_lines_are_ruled_out_before_their_shingles_are_made(spark, monkeypatch):
+    rng, asked = random.Random(14), []
+    fresh = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    lines = [fresh(5000) for _ in range(16)]  # their bitmaps of 1,024 bits are full
+    lines += [line[:4800] + fresh(200) for line in lines[:3]] + [line[:3600] + fresh(1400) for line in lines[3:6]]
+    lines += ["ab" * 3000, "ab" * 2700, "ab" * 2800 + fresh(30), "short line", "short lines"]
+    sets = [line_shingles(line) for line in lines]
+    every = [(x, y) for y in range(len(lines)) for x in range(y)]
+    scratch, verify = Scratch(spark), line_dedup.verified
+    texts = scratch.table(spark.createDataFrame(list(enumerate(lines)), "a bigint, line string"), "texts")
+    counts = [(x, y, x, y, 0, *(max(1, len(lines[i]) - line_dedup.WIDTH + 1) for i in (x, y))) for x, y in every]
+    pairs = spark.createDataFrame(counts, "x bigint, y bigint, lo bigint, hi bigint, apart int, n_x bigint, n_y bigint")
+    pairs = scratch.table(pairs.selectExpr("x", "y", "lo", "hi", "apart", line_dedup._PIECES), "left")
+    left, right = (line_dedup.shapes(texts).select(F.col("a").alias(end), *line_dedup._shape(f"_{end}")) for end in "xy")
+    assert pairs.join(left, "x").join(right, "y").filter(line_dedup.possible(0.8)).count() > 100
+    fine = line_dedup.fine_shapes(pairs, texts, scratch)
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(line_dedup, "verified", counted)
+    links = {(r.a, r.b) for r in line_dedup.residual_links(pairs, texts, scratch, 0.8, fine).collect()}
+    assert links == {(x, y) for x, y in every if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])} and len(links) >= 4
+    assert sum(asked) < 20
+
+
 def test_line_dedup_drops_tables_after_their_last_read(spark, docs):
     scratch = Scratch(spark)
     line_dedup.dedup_marks(docs, scratch).count()
